@@ -62,4 +62,4 @@ def month_end_yyyymmdd(year, month) -> Column:
 def parse_yyyymmdd(c) -> Column:
     """``yyyyMMdd`` text -> date, null when not a real date (never raises)."""
     v = _col(c)
-    return F.when(v.rlike("^[0-9]{8}$"), F.try_to_date(v, F.lit("yyyyMMdd")))
+    return F.when(v.rlike("^[0-9]{8}$"), F.try_to_date(v, "yyyyMMdd"))

@@ -3,6 +3,8 @@ SQL for every query SQL can express.  Names follow SURVEY §7.3."""
 
 from __future__ import annotations
 
+from . import expressions as X
+from . import oracle_expressions as OX
 from . import oracle_structured as OS
 from . import structured as S
 
@@ -13,6 +15,21 @@ QUERIES = {
     "ind_sales": S.ind_sales,
     "ind_youth_inflow": S.ind_youth_inflow,
     "ind_senior_outflow": S.ind_senior_outflow,
+    "string_clean": X.string_clean,
+    "number_lenient": X.number_lenient,
+    "number_strict": X.number_strict,
+    "numeric_by_list": X.numeric_by_list,
+    "numeric_by_name": X.numeric_by_name,
+    "mini_projection": X.mini_projection,
+    "filter_any_column": X.filter_any_column,
+    "filter_code_set": X.filter_code_set,
+    "filter_optional_column": X.filter_optional_column,
+    "filter_period": X.filter_period,
+    "filter_month_end": X.filter_month_end,
+    "valid_period": X.valid_period,
+    "dedup_rows": X.dedup_rows,
+    "band_rename": X.band_rename,
+    "band_unpivot": X.band_unpivot,
 }
 
 ORACLE_SQL = {
@@ -22,4 +39,19 @@ ORACLE_SQL = {
     "ind_sales": OS.IND_SALES,
     "ind_youth_inflow": OS.IND_YOUTH,
     "ind_senior_outflow": OS.IND_SENIOR,
+    "string_clean": OX.STRING_CLEAN,
+    "number_lenient": OX.NUMBER_LENIENT,
+    "number_strict": OX.NUMBER_STRICT,
+    "numeric_by_list": OX.NUMERIC_BY_LIST,
+    "numeric_by_name": OX.NUMERIC_BY_NAME,
+    "mini_projection": OX.MINI_PROJECTION,
+    "filter_any_column": OX.FILTER_ANY_COLUMN,
+    "filter_code_set": OX.FILTER_CODE_SET,
+    "filter_optional_column": OX.FILTER_OPTIONAL_COLUMN,
+    "filter_period": OX.FILTER_PERIOD,
+    "filter_month_end": OX.FILTER_MONTH_END,
+    "valid_period": OX.VALID_PERIOD,
+    "dedup_rows": OX.DEDUP_ROWS,
+    "band_rename": OX.BAND_RENAME,
+    "band_unpivot": OX.BAND_UNPIVOT,
 }
