@@ -4,6 +4,8 @@ SQL for every query SQL can express.  Names follow SURVEY §7.3."""
 from __future__ import annotations
 
 from . import expressions as X
+from . import landing as L
+from . import oracle_landing as OL
 from . import oracle_expressions as OX
 from . import oracle_structured as OS
 from . import structured as S
@@ -30,6 +32,23 @@ QUERIES = {
     "dedup_rows": X.dedup_rows,
     "band_rename": X.band_rename,
     "band_unpivot": X.band_unpivot,
+    "csv_landing_scan": L.csv_landing_scan,
+    "csv_subset_by_name": L.csv_subset_by_name,
+    "csv_multi_year": L.csv_multi_year,
+    "json_pages_inline": L.json_pages_inline,
+    "parquet_multi_union": L.parquet_multi_union,
+    "external_text_table": L.external_text_table,
+    "parquet_sink_roundtrip": L.parquet_sink_roundtrip,
+    "region_partitioned_sink": L.region_partitioned_sink,
+    "profile_table": L.profile_table,
+    "sample_rows": L.sample_rows,
+    "header_normalise": L.header_normalise,
+    "rename_map": L.rename_map,
+    "processed_deals": L.processed_deals,
+    "processed_rent": L.processed_rent,
+    "processed_sales": L.processed_sales,
+    "processed_population": L.processed_population,
+    "load_counts": L.load_counts,
 }
 
 ORACLE_SQL = {
@@ -54,4 +73,21 @@ ORACLE_SQL = {
     "dedup_rows": OX.DEDUP_ROWS,
     "band_rename": OX.BAND_RENAME,
     "band_unpivot": OX.BAND_UNPIVOT,
+    "csv_landing_scan": OL.CSV_LANDING_SCAN,
+    "csv_subset_by_name": OL.CSV_SUBSET_BY_NAME,
+    "csv_multi_year": OL.CSV_MULTI_YEAR,
+    "json_pages_inline": OL.JSON_PAGES_INLINE,
+    "parquet_multi_union": OL.PARQUET_MULTI_UNION,
+    "external_text_table": OL.EXTERNAL_TEXT_TABLE,
+    "parquet_sink_roundtrip": OL.PARQUET_SINK_ROUNDTRIP,
+    "region_partitioned_sink": OL.REGION_PARTITIONED_SINK,
+    "profile_table": OL.PROFILE_TABLE,
+    "sample_rows": OL.SAMPLE_ROWS,
+    "header_normalise": OL.HEADER_NORMALISE,
+    "rename_map": OL.RENAME_MAP,
+    "processed_deals": OL.PROCESSED_DEALS,
+    "processed_rent": OL.PROCESSED_RENT,
+    "processed_sales": OL.PROCESSED_SALES,
+    "processed_population": OL.PROCESSED_POPULATION,
+    "load_counts": OL.LOAD_COUNTS,
 }
