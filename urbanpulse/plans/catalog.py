@@ -9,6 +9,8 @@ from . import oracle_landing as OL
 from . import oracle_expressions as OX
 from . import oracle_structured as OS
 from . import structured as S
+from . import textual as T
+from . import oracle_textual as OT
 
 QUERIES = {
     "sgi_index": S.sgi,
@@ -49,6 +51,17 @@ QUERIES = {
     "processed_sales": L.processed_sales,
     "processed_population": L.processed_population,
     "load_counts": L.load_counts,
+    "text_clean_filter": T.text_clean_filter,
+    "sentiment_monthly": T.sentiment_monthly,
+    "keywords_tfidf": T.keywords_tfidf,
+    "topics_lda": T.topics_lda,
+    "embedding_centroid_cosine": T.embedding_centroid_cosine,
+    "ugi_index": T.ugi_index,
+    "gpi_index": T.gpi_index,
+    "region_standardise": T.region_standardise,
+    "zscore": T.zscore_query,
+    "minmax_100": T.minmax_query,
+    "period_change": T.period_change_query,
 }
 
 ORACLE_SQL = {
@@ -90,4 +103,14 @@ ORACLE_SQL = {
     "processed_sales": OL.PROCESSED_SALES,
     "processed_population": OL.PROCESSED_POPULATION,
     "load_counts": OL.LOAD_COUNTS,
+    "text_clean_filter": OT.TEXT_CLEAN_FILTER,
+    "sentiment_monthly": OT.SENTIMENT_MONTHLY,
+    "keywords_tfidf": OT.KEYWORDS_TFIDF,
+    "embedding_centroid_cosine": OT.EMBEDDING_CENTROID_COSINE,
+    "ugi_index": OT.UGI_INDEX,
+    "gpi_index": OT.GPI_INDEX,
+    "region_standardise": OT.REGION_STANDARDISE,
+    "zscore": OT.ZSCORE,
+    "minmax_100": OT.MINMAX_100,
+    "period_change": OT.PERIOD_CHANGE,
 }

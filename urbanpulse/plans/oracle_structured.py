@@ -39,10 +39,11 @@ _ZCOLS = ["z_price", "z_rent", "z_sales", "z_youth_share", "z_senior_share"]
 _RAW = ("(" + " + ".join(f"coalesce({z}, 0)" for z in _ZCOLS) + ") / nullif("
         + " + ".join(f"CASE WHEN {z} IS NULL THEN 0 ELSE 1 END" for z in _ZCOLS) + ", 0)")
 
-SGI_CTE = WITH_IND + f""",
-z AS (SELECT *, {_ZS} FROM ind),
+SGI_BODY = f"""z AS (SELECT *, {_ZS} FROM ind),
 r AS (SELECT *, {_RAW} AS raw FROM z),
 s AS (SELECT *, 100.0 * (raw - min(raw) OVER ()) / nullif(max(raw) OVER () - min(raw) OVER (), 0) AS sgi FROM r)"""
+SGI_CTES = ",".join([_ORDERS_BY_REGION, _LINES_BY_ORDER, _IND]) + ",\n" + SGI_BODY
+SGI_CTE = "WITH " + SGI_CTES
 
 SGI = SGI_CTE + """
 SELECT region_code, period, round(price, 4) AS price, rent, sales, youth_share,

@@ -77,10 +77,15 @@ def indicators_wide(spark: SparkSession, d: str) -> DataFrame:
                  (F.count_if(pr == SENIOR_PRIORITY) / n_orders).alias("senior_share")))
 
 
-def sgi(spark: SparkSession, d: str, scope: str = "all") -> DataFrame:
+def sgi_frame(spark: SparkSession, d: str, scope: str = "all") -> DataFrame:
+    """Unrounded SGI with its five indicators per (region_code, period)."""
     # (#regions x #periods) rows: computed once, then read by every statistic.
     wide = materialize(indicators_wide(spark, d))
-    idx = composite_index(to_long(wide, SGI_INDICATORS), SGI_INDICATORS, "sgi", scope=scope)
+    return composite_index(to_long(wide, SGI_INDICATORS), SGI_INDICATORS, "sgi", scope=scope)
+
+
+def sgi(spark: SparkSession, d: str, scope: str = "all") -> DataFrame:
+    idx = sgi_frame(spark, d, scope)
     return idx.select("region_code", "period", F.round("price", 4).alias("price"),
                       "rent", "sales", "youth_share", "senior_share",
                       F.round("sgi", 4).alias("sgi"))
