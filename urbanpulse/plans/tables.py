@@ -7,6 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# Inputs smaller than this are left as they are (dimension tables).
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    from ..session import hadoop_fs
+    fs, p = hadoop_fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def spread(df: DataFrame, spark: SparkSession, nbytes: int) -> DataFrame:
+    """Round-robin repartition of a scan that arrives in fewer splits than
+    the session has cores (e.g. one large row group), so per-row work runs
+    on every core.  A cluster-scale scan already has more splits than cores
+    and is returned unchanged (no shuffle added)."""
+    cores = spark.sparkContext.defaultParallelism
+    if nbytes < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread(spark.read.parquet(path), spark, input_bytes(spark, path))

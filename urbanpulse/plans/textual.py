@@ -49,7 +49,7 @@ def text_clean_filter(spark: SparkSession, d: str) -> DataFrame:
     c = TX.clean_filter(docs.unionByName(pages), "text", MIN_CHARS)
     c = c.withColumn("uid", F.col("id") * 2 + F.when(F.col("src") == "page", 1).otherwise(0))
     kept = TX.drop_exact_duplicates(c, "clean", "uid")
-    return kept.select("src", "id", F.length("clean").alias("n_chars"), F.md5("clean").alias("text_md5"))
+    return kept.select("src", "id", F.length("clean").cast("bigint").alias("n_chars"), F.md5("clean").alias("text_md5"))
 
 
 # ---- T2, A8 ----------------------------------------------------------------
