@@ -1,0 +1,185 @@
+"""Operators against brute force on small fixtures, plus the SURVEY §5
+properties (FIXTURES A7, A9, A10)."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from conftest import rows
+from urbanpulse.operators import text as TX
+from urbanpulse.operators.filters import any_column_contains, code_in_set, optional_code_filter
+from urbanpulse.operators.index import composite_index, gpi
+from urbanpulse.operators.indicators import age_shares, align, senior_outflow, youth_inflow
+from urbanpulse.operators.joins import bounded_rows, crosswalk, salted_join, unmatched_codes
+from urbanpulse.operators.normalize import minmax_100, period_change, zscore
+from urbanpulse.operators.rename import rename_by_map
+from urbanpulse.operators.sets import dedup_rows, union_all, union_by_name
+
+
+def _norm_df(spark, values):
+    return spark.createDataFrame([("R%d" % i, 20241, v) for i, v in enumerate(values)],
+                                 "region_code string, period int, x double")
+
+
+def test_zscore_minmax_ordinary_values(spark):
+    df = _norm_df(spark, [1.0, 2.0, 3.0, 10.0])
+    z = [r[0] for r in rows(zscore(df, "x").orderBy("region_code"), "z")]
+    mean, sd = np.mean([1, 2, 3, 10]), np.std([1, 2, 3, 10])
+    assert np.allclose(z, [(v - mean) / sd for v in [1, 2, 3, 10]])
+    assert abs(sum(z)) < 1e-9                                           # mean of z is 0
+    mm = [r[0] for r in rows(minmax_100(df, "x").orderBy("region_code"), "score")]
+    assert min(mm) == 0.0 and max(mm) == 100.0 and all(0 <= v <= 100 for v in mm)
+
+
+def test_normalisation_edge_cases(spark):
+    same = _norm_df(spark, [5.0, 5.0, 5.0])
+    assert {r for r in rows(zscore(same, "x"), "z")} == {(None,)}
+    assert {r for r in rows(minmax_100(same, "x"), "score")} == {(None,)}
+    one_null = _norm_df(spark, [1.0, None, 3.0])
+    got = dict(rows(minmax_100(one_null, "x"), "region_code", "score"))
+    assert got == {"R0": 0.0, "R1": None, "R2": 100.0}
+    single = _norm_df(spark, [7.0])
+    assert rows(zscore(single, "x"), "z") == [(None,)]
+
+
+def test_scoped_minmax_and_period_change(spark):
+    df = spark.createDataFrame([("A", 20241, 1.0), ("A", 20242, 4.0), ("B", 20241, 3.0), ("B", 20242, 2.0)],
+                               "region_code string, period int, x double")
+    got = dict(((r, p), s) for r, p, s in rows(minmax_100(df, "x", by=["period"]), "region_code", "period", "score"))
+    assert got == {("A", 20241): 0.0, ("B", 20241): 100.0, ("A", 20242): 100.0, ("B", 20242): 0.0}
+    ch = dict(((r, p), c) for r, p, c in rows(period_change(df, "x", ["region_code"], "period"),
+                                              "region_code", "period", "change"))
+    assert ch == {("A", 20241): None, ("A", 20242): 3.0, ("B", 20241): None, ("B", 20242): -1.0}
+
+
+def test_composite_index_matches_brute_force(spark):
+    rnd = random.Random(3)
+    recs = [("R%d" % r, 20240 + p, rnd.uniform(0, 100), rnd.uniform(-5, 5) if rnd.random() > 0.1 else None)
+            for r in range(6) for p in range(1, 5)]
+    wide = spark.createDataFrame(recs, "region_code string, period int, a double, b double")
+    long = align({"a": wide.select("region_code", "period", "a"), "b": wide.select("region_code", "period", "b")})
+    got = {(r, p): s for r, p, s in rows(composite_index(long, ["a", "b"], "idx"), "region_code", "period", "idx")}
+    a = np.array([x[2] for x in recs])
+    bv = [x[3] for x in recs if x[3] is not None]
+    za = (a - a.mean()) / a.std()
+    raw = {}
+    for i, (r, p, _, b) in enumerate(recs):
+        zs = [za[i]] + ([(b - np.mean(bv)) / np.std(bv)] if b is not None else [])
+        raw[(r, p)] = sum(zs) / len(zs)
+    lo, hi = min(raw.values()), max(raw.values())
+    for k, v in raw.items():
+        assert math.isclose(got[k], 100 * (v - lo) / (hi - lo), abs_tol=1e-9)
+
+
+def test_gpi_full_outer(spark):
+    s = spark.createDataFrame([("A", 1, 10.0), ("B", 1, 20.0)], "region_code string, period int, sgi double")
+    u = spark.createDataFrame([("A", 1, 5.0), ("C", 1, 7.0)], "region_code string, period int, ugi double")
+    got = {r[0]: r[1:] for r in rows(gpi(s, u), "region_code", "sgi", "ugi", "gpi")}
+    assert got == {"A": (10.0, 5.0, 15.0), "B": (20.0, None, None), "C": (None, 7.0, None)}
+
+
+def test_crosswalk_keeps_and_reports_unmatched(spark):
+    region_map = spark.createDataFrame([("deals", "11200", "SEONGDONG"), ("deals", "11680", "GANGNAM"),
+                                        ("rent", "11200", "X")], "source string, code string, region_code string")
+    deals = spark.createDataFrame([(11200, 1.0), (11680, 2.0), (99999, 3.0)], "CGG_CD int, v double")
+    got = sorted(rows(crosswalk(deals, region_map, "deals", "CGG_CD"), "CGG_CD", "region_code"), key=str)
+    assert got == [(11200, "SEONGDONG"), (11680, "GANGNAM"), (99999, None)]
+    assert rows(unmatched_codes(deals, region_map, "deals", "CGG_CD"), "code", "count") == [("99999", 1)]
+
+
+def test_salted_join_equals_plain_join(spark):
+    big = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                   .otherwise((F.col("id") % 17).cast("string")).alias("k"))
+    small = spark.createDataFrame([("hot", 1)] + [(str(i), i) for i in range(17)], "k string, w int")
+    a = sorted(rows(salted_join(big, small, ["k"], salts=8, salt_from=["id"]), "id", "k", "w"))
+    b = sorted(rows(big.join(small, "k"), "id", "k", "w"))
+    assert a == b
+    assert bounded_rows(small, 18) and not bounded_rows(small, 17)
+
+
+def test_filters_and_sets(spark):
+    df = spark.createDataFrame([(1, "small ring", None), (2, "blue", "ring road"), (3, "x", "y")],
+                               "k int, a string, b string")
+    assert sorted(r[0] for r in rows(any_column_contains(df, "ring"), "k")) == [1, 2]
+    assert rows(code_in_set(df, "k", ["1", 3]).orderBy("k"), "k") == [(1,), (3,)]
+    codes = spark.createDataFrame([("2",)], "c string")
+    assert rows(code_in_set(df, "k", codes), "k") == [(2,)]
+    assert optional_code_filter(df, "missing", ["1"]).count() == 3
+    d = dedup_rows(union_all([df, df, df]))
+    assert d.count() == 3 and dedup_rows(d).count() == 3                 # idempotent
+    assert union_all([]) is None and union_by_name([]) is None
+    u = union_by_name([df.select("k", "a"), df.select("b", "k")])
+    assert u.columns == ["k", "a", "b"] and u.count() == 6
+    assert rename_by_map(df, {"a": "A", "nope": "Z"}).count() == df.count()   # rename keeps rows
+
+
+def test_shares_and_flows(spark):
+    long = spark.createDataFrame([
+        ("R", 20241, "s1", 20, 10.0, 100.0), ("R", 20241, "s1", 65, 30.0, 100.0),
+        ("R", 20242, "s2", 20, 20.0, 100.0), ("R", 20242, "s2", 65, 20.0, 100.0)],
+        "region_code string, period int, snapshot string, age_lo int, n double, TOT_LVPOP_CO double")
+    sh = age_shares(long)
+    got = {r[0]: r[1:] for r in rows(sh, "period", "youth_share", "senior_share")}
+    assert got == {20241: (0.1, 0.3), 20242: (0.2, 0.2)}
+    yi = dict(rows(youth_inflow(sh), "period", "youth_inflow"))
+    so = dict(rows(senior_outflow(sh), "period", "senior_outflow"))
+    assert yi[20241] is None and math.isclose(yi[20242], 0.1)
+    assert so[20241] is None and math.isclose(so[20242], 0.1)
+
+
+DOCS = [(1, "the cat and the hat"), (2, "the dog"), (3, "cat cat cat dog"), (4, ""), (5, "The Cat, and the hat!")]
+
+
+def test_tfidf_top_k_brute_force(spark):
+    df = spark.createDataFrame(DOCS, "doc_id long, text string")
+    got = rows(TX.tfidf_top_k(df, "doc_id", "text", k=2).orderBy("doc_id", "rank"), "doc_id", "rank", "tok", "tf")
+    toks = {d: [t for t in t_.lower().replace(",", " ").replace("!", " ").split() if t] for d, t_ in DOCS}
+    dfreq = Counter(t for ts in toks.values() for t in set(ts))
+    n = len(DOCS)
+    want = []
+    for d, ts in toks.items():
+        tf = Counter(ts)
+        sc = sorted(((-c * math.log((n + 1) / (dfreq[t] + 1)), t, c) for t, c in tf.items()))
+        want += [(d, i + 1, t, c) for i, (_, t, c) in enumerate(sc[:2])]
+    assert got == want
+
+
+def test_tfidf_salted_path_equals_broadcast_path(spark):
+    df = spark.createDataFrame(DOCS, "doc_id long, text string")
+    a = rows(TX.tfidf_top_k(df, "doc_id", "text", k=3).orderBy("doc_id", "rank"), "doc_id", "tok", "score")
+    b = rows(TX.tfidf_top_k(df, "doc_id", "text", k=3, vocab_broadcast_rows=1, salts=4)
+             .orderBy("doc_id", "rank"), "doc_id", "tok", "score")
+    assert a == b
+
+
+def test_lexicon_sentiment(spark):
+    df = spark.createDataFrame([(1, "the good, the bad"), (2, "")], "doc_id long, text string")
+    got = {r[0]: r[1:] for r in rows(TX.lexicon_scores(df, "text", {"good": 1.0, "bad": -0.5}),
+                                     "doc_id", "n_tokens", "hits", "weight")}
+    assert got == {1: (4, 2, 0.5), 2: (0, 0, 0.0)}
+
+
+def test_exact_duplicates_keep_smallest_key(spark):
+    df = spark.createDataFrame([(5, "a b"), (2, "a b"), (9, "c"), (7, "a b")], "uid long, clean string")
+    assert sorted(r[0] for r in rows(TX.drop_exact_duplicates(df, "clean", "uid"), "uid")) == [2, 9]
+
+
+def test_centroid_cosine_brute_force(spark):
+    rnd = np.random.default_rng(1)
+    vecs = rnd.normal(size=(30, 8)).astype("float32")
+    labels = [i % 3 for i in range(30)]
+    df = spark.createDataFrame([(i, labels[i], [float(x) for x in vecs[i]]) for i in range(30)],
+                               "vec_id long, label int, embedding array<float>")
+    got = dict(rows(TX.centroid_cosine(df, "label", "embedding"), "vec_id", "cosine"))
+    for i in range(30):
+        c = vecs[[j for j in range(30) if labels[j] == labels[i]]].astype("float64").mean(axis=0)
+        v = vecs[i].astype("float64")
+        assert math.isclose(got[i], float(v @ c / (np.linalg.norm(v) * np.linalg.norm(c))), rel_tol=1e-9)
+
+
+def test_clean_filter_min_chars(spark):
+    df = spark.createDataFrame([(1, "   "), (2, "short"), (3, "long enough text here, ok")], "id long, text string")
+    assert rows(TX.clean_filter(df, "text", 20), "id") == [(3,)]

@@ -25,8 +25,9 @@ def _col(c) -> Column:
 
 
 def parse_lenient(c, keep_nan: bool = False) -> Column:
-    """Trim, drop thousands separators, parse as double; null when unparsable."""
-    s = F.regexp_replace(strip_ws(_col(c)), ",", "")
+    """Drop thousands separators, trim, parse as double; null when unparsable
+    (whitespace left between separators is trimmed too, as float() does)."""
+    s = strip_ws(F.regexp_replace(_col(c), ",", ""))
     out = F.when(s.rlike(LENIENT_NUMBER), s.try_cast("double"))
     if keep_nan:
         out = F.when(s.rlike(_NONFINITE), s.try_cast("double")).otherwise(out)

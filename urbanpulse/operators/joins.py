@@ -33,7 +33,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     """
     cols = salt_from or big.columns
     b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salts)))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return b.join(s, on + ["_salt"], how).drop("_salt")
 
 
