@@ -150,7 +150,7 @@ def test_tfidf_top_k_brute_force(spark):
 def test_tfidf_salted_path_equals_broadcast_path(spark):
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
     a = rows(TX.tfidf_top_k(df, "doc_id", "text", k=3).orderBy("doc_id", "rank"), "doc_id", "tok", "score")
-    b = rows(TX.tfidf_top_k(df, "doc_id", "text", k=3, vocab_broadcast_rows=1, salts=4)
+    b = rows(TX.tfidf_top_k(df, "doc_id", "text", k=3, salts=4)
              .orderBy("doc_id", "rank"), "doc_id", "tok", "score")
     assert a == b
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Largest dimension we broadcast explicitly; above it AQE decides at runtime
-# from real shuffle statistics (spark.sql.adaptive.autoBroadcastJoinThreshold).
+# Largest *input dimension table* (a scan, e.g. a crosswalk) we broadcast
+# explicitly after a cheap row check.  Derived or aggregated sides are never
+# pre-checked (that would run their upstream twice): AQE broadcasts them from
+# runtime statistics (spark.sql.adaptive.autoBroadcastJoinThreshold) or keeps
+# a sort-merge join and splits skewed partitions.
 BROADCAST_MAX_ROWS = 1_000_000
 
 
