@@ -46,9 +46,12 @@ def text_clean_filter(spark: SparkSession, d: str) -> DataFrame:
     docs = load(spark, d, "documents").select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), "text")
     pages = load(spark, d, "pages").select(F.lit("page").alias("src"), F.col("page_id").alias("id"),
                                            strip_tags("html").alias("text"))
-    c = TX.clean_filter(docs.unionByName(pages), "text", MIN_CHARS)
-    c = c.withColumn("uid", F.col("id") * 2 + F.when(F.col("src") == "page", 1).otherwise(0))
-    kept = TX.drop_exact_duplicates(c, "clean", "uid")
+    u = docs.unionByName(pages).withColumn(
+        "uid", F.col("id") * 2 + F.when(F.col("src") == "page", 1).otherwise(0))
+    # Silver is a stored layer: the regex cleaning runs once, then the length
+    # filter and the duplicate groups read the stored column.
+    silver = materialize(TX.with_clean(u, "text").select("src", "id", "uid", "clean"))
+    kept = TX.drop_exact_duplicates(TX.keep_long(silver, MIN_CHARS), "clean", "uid")
     return kept.select("src", "id", F.length("clean").cast("bigint").alias("n_chars"), F.md5("clean").alias("text_md5"))
 
 
