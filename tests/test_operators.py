@@ -183,3 +183,28 @@ def test_centroid_cosine_brute_force(spark):
 def test_clean_filter_min_chars(spark):
     df = spark.createDataFrame([(1, "   "), (2, "short"), (3, "long enough text here, ok")], "id long, text string")
     assert rows(TX.clean_filter(df, "text", 20), "id") == [(3,)]
+
+
+def test_composite_index_scoped_by_period(spark):
+    recs = [("R1", 1, 1.0), ("R2", 1, 3.0), ("R1", 2, 10.0), ("R2", 2, 5.0), ("R3", 2, 7.5)]
+    long = spark.createDataFrame(recs, "region_code string, period int, value double").withColumn(
+        "indicator", F.lit("a"))
+    got = {(r, p): s for r, p, s in rows(composite_index(long, ["a"], "idx", scope="period"),
+                                          "region_code", "period", "idx")}
+    assert got == {("R1", 1): 0.0, ("R2", 1): 100.0, ("R1", 2): 100.0, ("R2", 2): 0.0, ("R3", 2): 50.0}
+
+
+def test_mini_projection_kinds(spark):
+    from urbanpulse.operators.rename import mini_projection
+    df = spark.createDataFrame([("202401", "11", "1111053", "1,200", "600", "x")],
+                               "a string, b string, c string, d string, e string, f string")
+    pop = mini_projection(df, "population")
+    assert pop.columns == ["BASE_YM", "SGG_CD", "BJDONG_CD", "TOT_POP", "MALE_POP"]
+    assert rows(pop) == [("202401", "11", "1111053", 1200.0, 600.0)]
+    deals = mini_projection(df, "real_estate")
+    assert rows(deals) == [("202401", "11", "1111053", 1200.0, "600")]
+
+
+def test_cluster_profile_is_plain_spark_conf():
+    from urbanpulse.session import CLUSTER_CONF
+    assert all(k.startswith("spark.") for k in CLUSTER_CONF)

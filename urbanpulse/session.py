@@ -25,13 +25,38 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (hundreds of TB, ~1000 executors).  Shuffles
+# start wide and AQE coalesces them to ~256 MB partitions; scans read 256 MB
+# splits; a partition over 5x the median and 512 MB is split by the skew-join
+# rule; runtime broadcasts up to 64 MB.  Queries never depend on these: they
+# are plan-level choices, and the library works under any session.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def get_session(master: str | None = None, app: str = "urbanpulse",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, profile: str = "local") -> SparkSession:
+    """``profile="cluster"`` adds CLUSTER_CONF; the checkpoint folder is
+    whatever the cluster names in ``spark.checkpoint.dir``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
