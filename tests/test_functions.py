@@ -6,7 +6,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from urbanpulse.functions.numeric import parse_lenient, parse_strict

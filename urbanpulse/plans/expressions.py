@@ -65,7 +65,7 @@ LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def numeric_by_list(spark, d):
-    return RN.numeric_by_list(_as_text(load(spark, d, "lineitem")), LINEITEM_NUMERIC)
+    return RN.numeric_by_list(_as_text(load(spark, d, "lineitem", heavy_rows=True)), LINEITEM_NUMERIC)
 
 
 # lineitem columns under sales-style Korean headers (two headers are not in
@@ -84,7 +84,7 @@ SALES_STYLE_HEADERS = {
 
 
 def numeric_by_name(spark, d):
-    li = _as_text(load(spark, d, "lineitem"))
+    li = _as_text(load(spark, d, "lineitem", heavy_rows=True))
     raw = li.select(*[F.col(k).alias(v) for k, v in SALES_STYLE_HEADERS.items()])
     typed = RN.type_columns(raw, RN.is_sales_numeric, strict=True)
     return RN.rename_by_map(typed, SALES_RENAME)

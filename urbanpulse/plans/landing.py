@@ -207,6 +207,7 @@ def processed_population(spark, d):
 
 
 def load_counts(spark, d):
-    parts = [processed_deals(spark, d), processed_rent(spark, d),
-             processed_sales(spark, d), processed_population(spark, d)]
+    # only YEAR is needed: light per-row work, scans used as read
+    parts = [PR.processed_real_estate(SI.deals_raw(spark, d, False)), PR.processed_rent(SI.rent_raw(spark, d, False)),
+             PR.processed_sales(SI.sales_raw(spark, d, False)), PR.processed_population(SI.population_raw(spark, d, False))]
     return SK.load_counts(union_all([p.select("DATA_SRC", "YEAR") for p in parts]), ["DATA_SRC", "YEAR"])

@@ -28,6 +28,10 @@ def spread(df: DataFrame, spark: SparkSession, nbytes: int) -> DataFrame:
     return df.repartition(cores)
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, name: str, heavy_rows: bool = False) -> DataFrame:
+    """``heavy_rows``: the caller does expensive per-row work (regex parsing,
+    tokenising), worth one round-robin shuffle when the scan is under-split.
+    Light scans (aggregations, filters) are returned as read."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), spark, input_bytes(spark, path))
+    df = spark.read.parquet(path)
+    return spread(df, spark, input_bytes(spark, path)) if heavy_rows else df

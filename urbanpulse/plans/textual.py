@@ -43,8 +43,8 @@ def _doc_keys(df: DataFrame) -> DataFrame:
 # ---- T1, F8 ----------------------------------------------------------------
 
 def text_clean_filter(spark: SparkSession, d: str) -> DataFrame:
-    docs = load(spark, d, "documents").select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), "text")
-    pages = load(spark, d, "pages").select(F.lit("page").alias("src"), F.col("page_id").alias("id"),
+    docs = load(spark, d, "documents", heavy_rows=True).select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), "text")
+    pages = load(spark, d, "pages", heavy_rows=True).select(F.lit("page").alias("src"), F.col("page_id").alias("id"),
                                            strip_tags("html").alias("text"))
     u = docs.unionByName(pages).withColumn(
         "uid", F.col("id") * 2 + F.when(F.col("src") == "page", 1).otherwise(0))
@@ -58,7 +58,7 @@ def text_clean_filter(spark: SparkSession, d: str) -> DataFrame:
 # ---- T2, A8 ----------------------------------------------------------------
 
 def sentiment_monthly(spark, d):
-    docs = _doc_keys(load(spark, d, "documents").select("doc_id", "source", "text"))
+    docs = _doc_keys(load(spark, d, "documents", heavy_rows=True).select("doc_id", "source", "text"))
     scored = TX.lexicon_scores(docs, "text", LEXICON)
     return TX.sentiment_by(scored, ["region_code", "YEAR", "MONTH"])
 
@@ -66,7 +66,7 @@ def sentiment_monthly(spark, d):
 # ---- T3, W4 ----------------------------------------------------------------
 
 def keywords_tfidf(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", "text")
+    docs = load(spark, d, "documents", heavy_rows=True).select("doc_id", "text")
     top = TX.tfidf_top_k(docs, "doc_id", "text", k=3)
     return top.select("doc_id", "rank", "tok", "tf", F.round("score", 4).alias("score"))
 
@@ -74,7 +74,7 @@ def keywords_tfidf(spark, d):
 # ---- T4 --------------------------------------------------------------------
 
 def topics_lda(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", "text")
+    docs = load(spark, d, "documents", heavy_rows=True).select("doc_id", "text")
     return TX.lda_topics(docs, "doc_id", "text", k=5)
 
 
@@ -89,7 +89,7 @@ def embedding_centroid_cosine(spark, d):
 # ---- T6 (UGI), J3 + G2 (GPI) -----------------------------------------------
 
 def ugi_features(spark, d) -> DataFrame:
-    docs = _doc_keys(load(spark, d, "documents").select("doc_id", "source", "text"))
+    docs = _doc_keys(load(spark, d, "documents", heavy_rows=True).select("doc_id", "source", "text"))
     docs = docs.withColumn("period", period_key(F.col("YEAR"), quarter_of_month("MONTH")))
     scored = TX.lexicon_scores(docs, "text", LEXICON).drop("text")
     cos = TX.centroid_cosine(load(spark, d, "embeddings"), "label", "embedding").select(
