@@ -91,3 +91,20 @@ def test_run_all(spark, tmp_path):
     assert sorted(r[0] for r in silver.select("doc_id").collect()) == [1, 3]
     gpi = spark.read.option("header", True).option("inferSchema", True).csv(outs["gpi"])
     assert gpi.where(F.col("gpi").isNotNull()).count() >= 1
+
+
+def test_run_all_stops_on_empty_set(spark, tmp_path):
+    import pytest
+    from urbanpulse.plans.daily_run import LoadCheckError
+    raw, out = str(tmp_path / "raw_empty"), str(tmp_path / "out")
+    inv_re = {v: k for k, v in REAL_ESTATE_RENAME.items()}
+    _write(f"{raw}/real_estate/real_estate_2024.csv", [[inv_re[c] for c in REAL_ESTATE_COLUMNS]])  # header only
+    empty_map = spark.createDataFrame([], "source string, code string, region_code string")
+    with pytest.raises(LoadCheckError):
+        run_all(spark, raw, out, empty_map)
+
+
+def test_capped_periods(spark):
+    from urbanpulse.sources.sinks import capped_periods
+    c = spark.createDataFrame([("sales", 2023, 20000), ("sales", 2024, 1234)], "DATA_SRC string, YEAR int, n_rows long")
+    assert [tuple(r) for r in capped_periods(c, 20000).collect()] == [("sales", 2023, 20000)]

@@ -49,6 +49,12 @@ def load_counts(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def capped_periods(counts: DataFrame, cap: int, n_col: str = "n_rows") -> DataFrame:
+    """Load-check rows whose count equals the collector's per-period cap:
+    the period was probably truncated at the source."""
+    return counts.where(F.col(n_col) == F.lit(cap))
+
+
 def sample_rows(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:
     """L1: first ``n`` rows; ordered when a deterministic sample is needed."""
     return (df.orderBy(*order_by) if order_by else df).limit(n)
