@@ -90,24 +90,26 @@ _URAW = ("(" + " + ".join(f"coalesce(z_{c}, 0)" for c in _UGI_FEATS) + ") / null
 
 UGI_CTES = _DOCS + "," + _CENTROID + f""",
 uf AS (
-  SELECT ds.region_code, CAST(ds.YEAR * 10 + ceil(ds.MONTH / 3) AS INTEGER) AS period,
+  SELECT ds.region_code, ds.YEAR, ds.MONTH,
          sum(ds.w) / nullif(sum(ds.n_tok), 0) AS sentiment,
          sum(ds.hits) / nullif(sum(ds.n_tok), 0) AS hit_rate,
          CAST(count(*) AS DOUBLE) AS n_docs,
          avg(cos.cosine) AS cosine
   FROM ds LEFT JOIN cos ON ds.doc_id = cos.vec_id
-  GROUP BY 1, 2),
+  GROUP BY 1, 2, 3),
 uz AS (SELECT *, {_UZ} FROM uf),
 ur AS (SELECT *, {_URAW} AS raw FROM uz),
 u AS (SELECT *, 100.0 * (raw - min(raw) OVER ()) / nullif(max(raw) OVER () - min(raw) OVER (), 0) AS ugi FROM ur)"""
 
 UGI_INDEX = "WITH " + UGI_CTES + """
-SELECT region_code, period, sentiment, hit_rate, n_docs, round(cosine, 6) AS cosine, round(ugi, 4) AS ugi FROM u"""
-
-GPI_INDEX = "WITH " + SGI_CTES + ",\n" + UGI_CTES + """
-SELECT coalesce(s.region_code, u.region_code) AS region_code, coalesce(s.period, u.period) AS period,
-       round(s.sgi, 4) AS sgi, round(u.ugi, 4) AS ugi, round(s.sgi + u.ugi, 4) AS gpi
-FROM s FULL OUTER JOIN u ON s.region_code = u.region_code AND s.period = u.period"""
+SELECT region_code, YEAR, MONTH, sentiment, hit_rate, n_docs, round(cosine, 6) AS cosine, round(ugi, 4) AS ugi FROM u"""
+
+GPI_INDEX = "WITH " + SGI_CTES + ",\n" + UGI_CTES + """,
+uq AS (SELECT region_code, CAST(YEAR * 10 + ceil(MONTH / 3) AS INTEGER) AS period, avg(ugi) AS ugi
+       FROM u GROUP BY 1, 2)
+SELECT coalesce(s.region_code, uq.region_code) AS region_code, coalesce(s.period, uq.period) AS period,
+       round(s.sgi, 4) AS sgi, round(uq.ugi, 4) AS ugi, round(s.sgi + uq.ugi, 4) AS gpi
+FROM s FULL OUTER JOIN uq ON s.region_code = uq.region_code AND s.period = uq.period"""
 
 REGION_STANDARDISE = """
 SELECT c.c_custkey, c.c_nationkey, m.region_code

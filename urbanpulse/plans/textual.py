@@ -88,15 +88,18 @@ def embedding_centroid_cosine(spark, d):
 
 # ---- T6 (UGI), J3 + G2 (GPI) -----------------------------------------------
 
+MONTH_KEYS = ["region_code", "YEAR", "MONTH"]
+
+
 def ugi_features(spark, d) -> DataFrame:
+    """Monthly text features per (region_code, YEAR, MONTH)."""
     docs = _doc_keys(load(spark, d, "documents", heavy_rows=True).select("doc_id", "source", "text"))
-    docs = docs.withColumn("period", period_key(F.col("YEAR"), quarter_of_month("MONTH")))
     scored = TX.lexicon_scores(docs, "text", LEXICON).drop("text")
     cos = TX.centroid_cosine(load(spark, d, "embeddings"), "label", "embedding").select(
         F.col("vec_id").alias("doc_id"), "cosine")
     j = scored.join(cos, "doc_id", "left")
     n = F.sum("n_tokens")
-    return j.groupBy("region_code", "period").agg(
+    return j.groupBy(*MONTH_KEYS).agg(
         (F.sum("weight") / F.nullif(n, F.lit(0))).alias("sentiment"),
         (F.sum("hits") / F.nullif(n, F.lit(0))).alias("hit_rate"),
         F.count(F.lit(1)).cast("double").alias("n_docs"),
@@ -104,17 +107,24 @@ def ugi_features(spark, d) -> DataFrame:
 
 
 def ugi_frame(spark, d) -> DataFrame:
+    """UGI (0..100) per region and month."""
     wide = materialize(ugi_features(spark, d))
-    return composite_index(to_long(wide, UGI_FEATURES), UGI_FEATURES, "ugi")
+    return composite_index(to_long(wide, UGI_FEATURES, keys=MONTH_KEYS), UGI_FEATURES, "ugi", keys=MONTH_KEYS)
 
 
 def ugi_index(spark, d):
-    return ugi_frame(spark, d).select("region_code", "period", "sentiment", "hit_rate", "n_docs",
+    return ugi_frame(spark, d).select(*MONTH_KEYS, "sentiment", "hit_rate", "n_docs",
                                       F.round("cosine", 6).alias("cosine"), F.round("ugi", 4).alias("ugi"))
 
 
+def ugi_quarterly(ugi_monthly: DataFrame) -> DataFrame:
+    """Monthly UGI averaged up to (region_code, period) for the GPI."""
+    return (ugi_monthly.withColumn("period", period_key(F.col("YEAR"), quarter_of_month("MONTH")))
+            .groupBy("region_code", "period").agg(F.avg("ugi").alias("ugi")))
+
+
 def gpi_index(spark, d):
-    g = gpi(sgi_frame(spark, d), ugi_frame(spark, d))
+    g = gpi(sgi_frame(spark, d), ugi_quarterly(ugi_frame(spark, d)))
     return g.select("region_code", "period", F.round("sgi", 4).alias("sgi"),
                     F.round("ugi", 4).alias("ugi"), F.round("gpi", 4).alias("gpi"))
 
