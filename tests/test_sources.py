@@ -160,10 +160,15 @@ def test_json_pages(spark, tmp_path):
 
 def test_json_pages_roundtrip(spark, tmp_path):
     from pyspark.sql import types as T
-    df = spark.range(2500).select((F.col("id") / 1000).cast("long").alias("page"), F.col("id").alias("k"))
-    JP.write_pages(df, str(tmp_path / "out"), "svc", "page")
-    back = JP.read_pages(spark, str(tmp_path / "out"), "svc", T.StructType([T.StructField("k", T.LongType())]))
-    assert back.count() == 2500 and back.distinct().count() == 2500
+    # one key holding most rows must still give pages of <= page_size rows
+    df = spark.range(2500).select(F.when(F.col("id") < 2000, 7).otherwise(F.col("id")).alias("k"))
+    JP.write_pages(df.repartition(3), str(tmp_path / "out"), "svc", page_size=400)
+    row = T.StructType([T.StructField("k", T.LongType())])
+    back = JP.read_pages(spark, str(tmp_path / "out"), "svc", row)
+    assert back.count() == 2500 and back.where(F.col("k") == 7).count() == 2000
+    sizes = spark.read.text(str(tmp_path / "out")).select(
+        F.get_json_object("value", "$.svc.list_total_count").cast("int").alias("n")).collect()
+    assert max(r["n"] for r in sizes) <= 400 and sum(r["n"] for r in sizes) == 2500
 
 
 def test_parquet_folders_safe_union(spark, tmp_path):

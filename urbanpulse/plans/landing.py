@@ -92,10 +92,9 @@ PAGE_SIZE = 1000
 def json_pages_inline(spark, d):
     ev = load(spark, d, "events")
     path = scratch_path(spark, "event_pages")
-    rows = ev.select(F.floor(F.col("event_id") / PAGE_SIZE).alias("page"), "event_id", "user_id",
-                     "event_type", "value", "props",
+    rows = ev.select("event_id", "user_id", "event_type", "value", "props",
                      F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts_text"))
-    JP.write_pages(rows, path, "svc", "page")
+    JP.write_pages(rows, path, "svc", PAGE_SIZE)
     # an exhausted page and an error page, as the API returns them: no rows
     (spark.createDataFrame([('{"svc":{"list_total_count":0,"row":[]}}',),
                             ('{"RESULT":{"CODE":"INFO-200","MESSAGE":"no data"}}',)], "value string")
