@@ -223,3 +223,34 @@ def test_region_sink_profile_sample(spark, tmp_path):
     prof = {r[0]: r[1:] for r in rows(SK.profile(df))}
     assert prof == {"region_code": ("string", 0, 3), "period": ("int", 0, 3), "x": ("double", 1, 3)}
     assert rows(SK.sample_rows(df, 2, ["region_code", "period"]), "period") == [(1,), (2,)]
+
+
+def test_json_pages_multiline_files_and_empty_pages(spark, tmp_path):
+    from pyspark.sql import types as T
+    d = tmp_path / "saved"
+    d.mkdir()
+    (d / "a.json").write_text('{\n  "svc": {\n    "list_total_count": 1,\n    "row": [\n      {"A": "x", "B": 1.0}\n    ]\n  }\n}\n')
+    (d / "b.json").write_text('{\n  "svc": {"row": []}\n}\n')
+    (d / "c.json").write_text('{\n  "RESULT": {"CODE": "INFO-200"}\n}\n')
+    row = T.StructType([T.StructField("A", T.StringType()), T.StructField("B", T.DoubleType())])
+    assert rows(JP.read_pages(spark, str(d), "svc", row, multi_line=True)) == [("x", 1.0)]
+    kept = JP.read_pages(spark, str(d), "svc", row, multi_line=True, keep_empty_pages=True)
+    assert kept.count() == 3 and kept.where(F.col("A").isNull()).count() == 2
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_year_filter_prunes_partitions_and_pushes_filters(spark, tmp_path):
+    from urbanpulse.operators.filters import code_in_set, period_between
+    df = spark.createDataFrame([(i, 2020 + i % 5, str(i % 7)) for i in range(100)], "k int, YEAR int, code string")
+    p = str(tmp_path / "by_year")
+    SK.write_parquet(df, p, partition_by=["YEAR"])
+    sel = period_between(spark.read.parquet(p), "YEAR", 2022, 2023)
+    plan = _plan(sel)
+    assert "PartitionFilters: [isnotnull(YEAR" in plan and "(YEAR#" in plan
+    assert sel.count() == 40
+    coded = code_in_set(spark.read.parquet(p).select("k", "code"), "code", ["1", "2"])
+    cplan = _plan(coded)
+    assert "PushedFilters: [In(code" in cplan and "ReadSchema: struct<k:int,code:string>" in cplan
