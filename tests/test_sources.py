@@ -254,3 +254,9 @@ def test_year_filter_prunes_partitions_and_pushes_filters(spark, tmp_path):
     coded = code_in_set(spark.read.parquet(p).select("k", "code"), "code", ["1", "2"])
     cplan = _plan(coded)
     assert "PushedFilters: [In(code" in cplan and "ReadSchema: struct<k:int,code:string>" in cplan
+
+
+def test_duplicate_header_names_keep_positions(spark, tmp_path):
+    _write(f"{tmp_path}/dup/x.csv", [["a", "b", "a", ""], ["1", "2", "3", "4"]])
+    df = CSV.read_layout(spark, f"{tmp_path}/dup", flag_corrupt=False)
+    assert df.columns == ["a", "b", "a_2"] and rows(df) == [("1", "2", "3")]
