@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   dynamic: bool = True) -> None:
     """Overwrite; with partition columns, only the partitions present in
-    ``df`` are replaced (daily reload of one year keeps the others)."""
+    ``df`` are replaced (daily reload of one year keeps the others).
+
+    A partitioned write is rebalanced on its partition columns first (AQE
+    REBALANCE): each year's rows gather into few, reasonably sized files
+    instead of one file per task and year, and a year holding a large share
+    of the rows is split over several tasks rather than one."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -26,9 +33,10 @@ def write_csv(df: DataFrame, path: str, header: bool = True, partition_by: list[
 
 
 def write_by_region(df: DataFrame, path: str, region: str = "region_code") -> None:
-    """One folder (and one file) per region: rows are hash-partitioned
-    on the region first, so each region's rows are written by one task."""
-    write_csv(df.repartition(region), path, header=True, partition_by=[region])
+    """One folder per region.  Rows are rebalanced on the region first
+    (AQE REBALANCE), so a small region is written as one file and a large
+    region is split over several tasks instead of one."""
+    write_csv(df.hint("rebalance", region), path, header=True, partition_by=[region])
 
 
 def profile(df: DataFrame) -> DataFrame:
