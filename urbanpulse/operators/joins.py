@@ -44,9 +44,9 @@ def crosswalk(df: DataFrame, region_map: DataFrame, source: str, code_col: str,
               out: str = "region_code") -> DataFrame:
     """Attach ``region_code`` for (source, code) by a left join; rows whose code
     has no mapping are kept with a null region (see ``unmatched_codes``)."""
+    # one region per code; a duplicated code resolves deterministically
     m = (region_map.where(F.col("source") == F.lit(source))
-         .select(F.col("code").alias("_code"), F.col("region_code").alias(out))
-         .dropDuplicates(["_code"]))
+         .groupBy(F.col("code").alias("_code")).agg(F.min("region_code").alias(out)))
     m = broadcast_if_bounded(m)
     return (df.join(m, df[code_col].cast("string") == m["_code"], "left").drop("_code"))
 
