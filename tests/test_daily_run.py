@@ -75,6 +75,8 @@ def test_run_all(spark, tmp_path):
     deals = spark.read.parquet(outs["processed/real_estate"])
     assert deals.count() == 6 and set(deals.columns) >= {"CGG_CD", "STDG_CD", "YEAR", "MONTH", "THING_AMT", "DATA_SRC"}
     assert spark.table("processed_rent").count() == 3
+    raw_tbl = spark.table("real_estate_raw")                      # S9 over the API layout folder
+    assert raw_tbl.columns == REAL_ESTATE_API_COLUMNS and raw_tbl.count() == 1
     assert spark.read.parquet(outs["processed/population_bands"]).count() == 12
     counts = {(r[0], r[1]): r[2] for r in spark.read.option("header", True).option("inferSchema", True)
               .csv(outs["load_counts"]).collect()}

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.sets import union_all
 from ..session import list_subfolders
 
+log = logging.getLogger("urbanpulse.sources")
+
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     r = spark.read
@@ -47,6 +51,7 @@ def read_parquet_folders(spark: SparkSession, root: str | None = None,
         df, err = load_parquet_safely(spark, f)
         if df is None:
             failed[f] = err
+            log.warning("unreadable parquet folder left out: %s (%s)", f, err)
         else:
             ok.append(df)
     if not ok:
