@@ -41,7 +41,7 @@ _RAW = ("(" + " + ".join(f"coalesce({z}, 0)" for z in _ZCOLS) + ") / nullif("
 
 SGI_BODY = f"""z AS (SELECT *, {_ZS} FROM ind),
 r AS (SELECT *, {_RAW} AS raw FROM z),
-s AS (SELECT *, 100.0 * (raw - min(raw) OVER ()) / nullif(max(raw) OVER () - min(raw) OVER (), 0) AS sgi FROM r)"""
+s AS (SELECT *, 100.0 * ((raw - min(raw) OVER ()) / nullif(max(raw) OVER () - min(raw) OVER (), 0)) AS sgi FROM r)"""
 SGI_CTES = ",".join([_ORDERS_BY_REGION, _LINES_BY_ORDER, _IND]) + ",\n" + SGI_BODY
 SGI_CTE = "WITH " + SGI_CTES
 

@@ -99,7 +99,7 @@ uf AS (
   GROUP BY 1, 2, 3),
 uz AS (SELECT *, {_UZ} FROM uf),
 ur AS (SELECT *, {_URAW} AS raw FROM uz),
-u AS (SELECT *, 100.0 * (raw - min(raw) OVER ()) / nullif(max(raw) OVER () - min(raw) OVER (), 0) AS ugi FROM ur)"""
+u AS (SELECT *, 100.0 * ((raw - min(raw) OVER ()) / nullif(max(raw) OVER () - min(raw) OVER (), 0)) AS ugi FROM ur)"""
 
 UGI_INDEX = "WITH " + UGI_CTES + """
 SELECT region_code, YEAR, MONTH, sentiment, hit_rate, n_docs, round(cosine, 6) AS cosine, round(ugi, 4) AS ugi FROM u"""
@@ -125,8 +125,8 @@ FROM ind"""
 
 MINMAX_100 = WITH_IND + """
 SELECT region_code, period, sales,
-       round(100.0 * (sales - min(sales) OVER (PARTITION BY period))
-             / nullif(max(sales) OVER (PARTITION BY period) - min(sales) OVER (PARTITION BY period), 0), 6) AS score
+       round(100.0 * ((sales - min(sales) OVER (PARTITION BY period))
+             / nullif(max(sales) OVER (PARTITION BY period) - min(sales) OVER (PARTITION BY period), 0)), 6) AS score
 FROM ind"""
 
 PERIOD_CHANGE = WITH_IND + """
