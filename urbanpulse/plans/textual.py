@@ -19,7 +19,7 @@ from ..operators.index import composite_index, gpi
 from ..operators.indicators import to_long
 from ..operators.joins import crosswalk
 from ..operators.normalize import minmax_100, period_change, zscore
-from ..session import materialize
+from ..session import materialize, stage_table
 from .structured import indicators_wide, sgi_frame
 from .tables import load
 
@@ -48,9 +48,10 @@ def text_clean_filter(spark: SparkSession, d: str) -> DataFrame:
                                            strip_tags("html").alias("text"))
     u = docs.unionByName(pages).withColumn(
         "uid", F.col("id") * 2 + F.when(F.col("src") == "page", 1).otherwise(0))
-    # Silver is a stored layer: the regex cleaning runs once, then the length
-    # filter and the duplicate groups read the stored column.
-    silver = materialize(TX.with_clean(u, "text").select("src", "id", "uid", "clean"))
+    # Silver is a stored layer: the regex cleaning runs once into a Parquet
+    # table in the shared folder; the length filter and the duplicate groups
+    # read the stored column (the dedup branch reads only uid and clean).
+    silver = stage_table(TX.with_clean(u, "text").select("src", "id", "uid", "clean"), "silver_texts")
     kept = TX.drop_exact_duplicates(TX.keep_long(silver, MIN_CHARS), "clean", "uid")
     return kept.select("src", "id", F.length("clean").cast("bigint").alias("n_chars"), F.md5("clean").alias("text_md5"))
 

@@ -119,3 +119,14 @@ def materialize(df):
     tables that several statistics branches read."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_table(df, name: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    return it re-read: the lineage is cut like ``materialize``, but the stored
+    form is columnar and splittable, so each later branch reads only the
+    columns it needs.  For large intermediates (e.g. the silver corpus)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
