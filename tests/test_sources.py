@@ -260,3 +260,45 @@ def test_duplicate_header_names_keep_positions(spark, tmp_path):
     _write(f"{tmp_path}/dup/x.csv", [["a", "b", "a", ""], ["1", "2", "3", "4"]])
     df = CSV.read_layout(spark, f"{tmp_path}/dup", flag_corrupt=False)
     assert df.columns == ["a", "b", "a_2"] and rows(df) == [("1", "2", "3")]
+
+
+def test_rent_file_and_api_layouts(spark, tmp_path):
+    from urbanpulse.plans.processed import processed_rent
+    from urbanpulse.schemas import RENT_API_COLUMNS, RENT_COLUMNS, RENT_RENAME
+    inv = {v: k for k, v in RENT_RENAME.items()}
+
+    def rent_row(stdg, day, area, grfe, rtfe, bfr_g="", bfr_r=""):
+        v = dict.fromkeys(RENT_COLUMNS, "")
+        v.update(STDG_CD=stdg, CTRT_DAY=day, RENT_AREA=area, GRFE=grfe, RTFE=rtfe, BFR_GRFE=bfr_g, BFR_RTFE=bfr_r,
+                 LOTNO_SE="1", LOTNO_SE_NM="대지", MNO="12")
+        return [v[c] for c in RENT_COLUMNS]
+    _write(f"{tmp_path}/rent/rent_2024.csv", [[inv[c] for c in RENT_COLUMNS],
+                                              rent_row("D1", "20240110", "84.5", "50,000", "0"),         # deposit only
+                                              rent_row("D2", "2024-02-03", "59", "1000", "80"),          # monthly
+                                              rent_row("D3", "20240305", "", "30000", "10", "25000", "5")])  # renewal
+    api = dict.fromkeys(RENT_API_COLUMNS, "")
+    api.update(STDG_CD="D4", LOTNO_SE="1", MNO="7", CTRT_DAY="20240406", GRFE="2000", RTFE="60", BLDG_USG="연립")
+    _write(f"{tmp_path}/rent_api/r.csv", [[api[c] for c in RENT_API_COLUMNS]], quote_all=True)
+    f = CSV.read_layout(spark, f"{tmp_path}/rent", layout=RENT_COLUMNS, rename=RENT_RENAME, flag_corrupt=False)
+    a = CSV.bind_by_name(CSV.read_text_csv(spark, f"{tmp_path}/rent_api", RENT_API_COLUMNS, header=False,
+                                           flag_corrupt=False), RENT_COLUMNS)
+    p = {r["STDG_CD"]: r for r in processed_rent(f.unionByName(a)).collect()}
+    assert (p["D1"]["GRFE"], p["D1"]["RTFE"], p["D1"]["MONTH"]) == (50000.0, 0.0, 1)
+    assert (p["D2"]["RENT_AREA"], p["D2"]["RTFE"], p["D2"]["MONTH"]) == (59.0, 80.0, 2)
+    assert (p["D3"]["RENT_AREA"], p["D3"]["BFR_GRFE"], p["D3"]["BFR_RTFE"]) == (None, 25000.0, 5.0)
+    assert (p["D4"]["GRFE"], p["D4"]["RTFE"], p["D4"]["YEAR"], p["D4"]["MONTH"]) == (2000.0, 60.0, 2024, 4)
+    raw_api = a.collect()[0]
+    assert raw_api["LOTNO_SE_NM"] is None and raw_api["MNO"] == "7" and raw_api["BLDG_USG"] == "연립"  # no shift
+
+
+def test_processed_schemas_match_survey(spark):
+    from urbanpulse.plans import processed as PR
+    from urbanpulse.schemas import (LAYOUTS, PROCESSED_POPULATION, PROCESSED_REAL_ESTATE, PROCESSED_RENT,
+                                    PROCESSED_SALES, all_string_schema)
+    empty = {k: spark.createDataFrame([], all_string_schema(v)) for k, v in LAYOUTS.items()}
+    assert PR.processed_real_estate(empty["real_estate"]).columns == PROCESSED_REAL_ESTATE
+    assert PR.processed_rent(empty["rent"]).columns == PROCESSED_RENT
+    assert PR.processed_sales(empty["sales"]).columns == PROCESSED_SALES
+    assert PR.processed_population(empty["population"]).columns == PROCESSED_POPULATION
+    types = dict(PR.processed_sales(empty["sales"]).dtypes)
+    assert types["YEAR"] == "int" and types["QUARTER"] == "int" and types["THSMON_SELNG_AMT"] == "double"
