@@ -27,7 +27,7 @@ def _col(c) -> Column:
 def parse_lenient(c, keep_nan: bool = False) -> Column:
     """Drop thousands separators, trim, parse as double; null when unparsable
     (whitespace left between separators is trimmed too, as float() does)."""
-    s = strip_ws(F.regexp_replace(_col(c), ",", ""))
+    s = strip_ws(F.replace(_col(c), F.lit(","), F.lit("")))
     out = F.when(s.rlike(LENIENT_NUMBER), s.try_cast("double"))
     if keep_nan:
         out = F.when(s.rlike(_NONFINITE), s.try_cast("double")).otherwise(out)
@@ -37,6 +37,6 @@ def parse_lenient(c, keep_nan: bool = False) -> Column:
 def parse_strict(c) -> Column:
     """Clean (BOM, trim), drop commas; missing markers and anything that is not
     ``-?digits(.digits)?`` give null."""
-    s = F.regexp_replace(clean_str(_col(c)), ",", "")
+    s = F.replace(clean_str(_col(c)), F.lit(","), F.lit(""))
     return (F.when(s.isin(*STRICT_MISSING), F.lit(None).cast("double"))
             .when(s.rlike(STRICT_NUMBER), s.try_cast("double")))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 BOM = "\ufeff"
-# Leading/trailing whitespace, as a regex (Spark's trim() only strips spaces).
-_EDGE_WS = r"^[\s\u00a0\u3000]+|[\s\u00a0\u3000]+$"
+# Edge whitespace: Java's \s set plus no-break and ideographic spaces
+# (Spark's trim() alone strips only ' ').  btrim over a character set needs
+# no regex engine.
+EDGE_WS_CHARS = " \t\n\u000b\f\r\u00a0\u3000"
 
 
 def _col(c) -> Column:
@@ -14,12 +16,12 @@ def _col(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    return F.regexp_replace(_col(c), _EDGE_WS, "")
+    return F.btrim(_col(c), F.lit(EDGE_WS_CHARS))
 
 
 def clean_str(c) -> Column:
-    """null -> '', BOM removed, surrounding whitespace removed."""
-    return strip_ws(F.regexp_replace(F.coalesce(_col(c).cast("string"), F.lit("")), BOM, ""))
+    """null -> '', BOM removed (anywhere), surrounding whitespace removed."""
+    return strip_ws(F.replace(F.coalesce(_col(c).cast("string"), F.lit("")), F.lit(BOM), F.lit("")))
 
 
 def join_list(c, sep: str = ",") -> Column:
