@@ -17,13 +17,26 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
+def _bytes_conf(spark: SparkSession, key: str, default: int) -> int:
+    v = (spark.conf.get(key, None) or "").strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    try:
+        if v and v[-1] == "b":
+            v = v[:-1]
+        return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v or default)
+    except ValueError:
+        return default
+
+
 def spread(df: DataFrame, spark: SparkSession, nbytes: int) -> DataFrame:
-    """Round-robin repartition of a scan that arrives in fewer splits than
-    the session has cores (e.g. one large row group), so per-row work runs
-    on every core.  A cluster-scale scan already has more splits than cores
-    and is returned unchanged (no shuffle added)."""
+    """Round-robin repartition of a scan expected to arrive in fewer splits
+    than the session has cores (input bytes / maxPartitionBytes), so per-row
+    work runs on every core.  A cluster-scale scan has far more splits than
+    cores and is returned unchanged (no shuffle added)."""
     cores = spark.sparkContext.defaultParallelism
-    if nbytes < SPREAD_MIN_BYTES or df.rdd.getNumPartitions() >= cores:
+    split = _bytes_conf(spark, "spark.sql.files.maxPartitionBytes", 128 << 20)
+    expected_splits = -(-nbytes // max(split, 1))
+    if nbytes < SPREAD_MIN_BYTES or expected_splits >= cores:
         return df
     return df.repartition(cores)
 
