@@ -18,7 +18,10 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 
 def _bytes_conf(spark: SparkSession, key: str, default: int) -> int:
-    v = (spark.conf.get(key, None) or "").strip().lower()
+    try:
+        v = (spark.conf.get(key) or "").strip().lower()   # the entry's own default when unset
+    except Exception:  # noqa: BLE001 - unknown key
+        return default
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
     try:
         if v and v[-1] == "b":
