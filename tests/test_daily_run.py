@@ -110,3 +110,15 @@ def test_capped_periods(spark):
     from urbanpulse.sources.sinks import capped_periods
     c = spark.createDataFrame([("sales", 2023, 20000), ("sales", 2024, 1234)], "DATA_SRC string, YEAR int, n_rows long")
     assert [tuple(r) for r in capped_periods(c, 20000).collect()] == [("sales", 2023, 20000)]
+
+
+def test_cli_entry_point(spark, tmp_path):
+    from urbanpulse.plans.daily_run import main
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    _raw(raw)
+    with open(tmp_path / "map.csv", "w") as f:
+        f.write("source,code,region_code\nreal_estate,D1,R1\nrent,D2,R2\nsales,T1,R1\npopulation,A1,R1\n")
+    outs = main(["--raw", raw, "--out", out, "--region-map", str(tmp_path / "map.csv"), "--profile", "local"])
+    assert {"processed/real_estate", "sgi", "load_counts"} <= set(outs)
+    sgi = spark.read.option("header", True).csv(outs["sgi"])
+    assert sgi.count() >= 1
