@@ -208,3 +208,11 @@ def test_mini_projection_kinds(spark):
 def test_cluster_profile_is_plain_spark_conf():
     from urbanpulse.session import CLUSTER_CONF
     assert all(k.startswith("spark.") for k in CLUSTER_CONF)
+
+
+def test_normalize_headers_drops_empty_by_position(spark):
+    from urbanpulse.operators.rename import normalize_headers
+    df = spark.createDataFrame([("1", "x", "junk", "2")], "a string, b string, c string, d string")
+    out = normalize_headers(df, ['﻿"기준일ID"', ' 시간대구분 ', '', '행정동코드'])
+    assert out.columns == ["기준일ID", "시간대구분", "행정동코드"]
+    assert rows(out) == [("1", "x", "2")]
