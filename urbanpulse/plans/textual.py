@@ -68,7 +68,7 @@ def sentiment_monthly(spark, d):
 
 def keywords_tfidf(spark, d):
     docs = load(spark, d, "documents", heavy_rows=True).select("doc_id", "text")
-    top = TX.tfidf_top_k(docs, "doc_id", "text", k=3)
+    top = TX.tfidf_top_k(docs, "doc_id", "text", k=3, n_docs=load(spark, d, "documents"))
     return top.select("doc_id", "rank", "tok", "tf", F.round("score", 4).alias("score"))
 
 
