@@ -216,3 +216,10 @@ def test_normalize_headers_drops_empty_by_position(spark):
     out = normalize_headers(df, ['﻿"기준일ID"', ' 시간대구분 ', '', '행정동코드'])
     assert out.columns == ["기준일ID", "시간대구분", "행정동코드"]
     assert rows(out) == [("1", "x", "2")]
+
+
+def test_clean_filter_languages(spark):
+    df = spark.createDataFrame([(1, "long enough english text here", "en"), (2, "texte assez long en français", "fr"),
+                                (3, "tiny", "en")], "id long, text string, lang string")
+    assert rows(TX.clean_filter(df, "text", 20, langs=["en"]), "id") == [(1,)]
+    assert sorted(rows(TX.clean_filter(df, "text", 20), "id")) == [(1,), (2,)]
