@@ -302,3 +302,17 @@ def test_processed_schemas_match_survey(spark):
     assert PR.processed_population(empty["population"]).columns == PROCESSED_POPULATION
     types = dict(PR.processed_sales(empty["sales"]).dtypes)
     assert types["YEAR"] == "int" and types["QUARTER"] == "int" and types["THSMON_SELNG_AMT"] == "double"
+
+
+def test_inspect_cli(spark, tmp_path, capsys):
+    from urbanpulse.sources.inspect import main
+    root = str(tmp_path / "proc")
+    spark.range(3).write.parquet(f"{root}/a")
+    spark.range(3, 5).write.parquet(f"{root}/b")
+    os.makedirs(f"{root}/bad")
+    with open(f"{root}/bad/x.parquet", "wb") as f:
+        f.write(b"nope")
+    assert main([root, "--rows", "2"]) == 0
+    out = capsys.readouterr().out
+    assert "FAILED:" in out and "id\tbigint\tnulls=0\trows=5" in out
+    assert main([str(tmp_path / "missing")]) == 1
