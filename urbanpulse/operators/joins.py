@@ -56,3 +56,18 @@ def unmatched_codes(df: DataFrame, region_map: DataFrame, source: str, code_col:
     m = region_map.where(F.col("source") == F.lit(source)).select(F.col("code").alias("_code"))
     codes = df.groupBy(F.col(code_col).cast("string").alias("code")).count()
     return codes.join(broadcast_if_bounded(m), F.col("code") == F.col("_code"), "left_anti")
+
+
+def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_keys: DataFrame) -> DataFrame:
+    """Inner equi-join on ``key`` with hot keys isolated.
+
+    ``hot_keys`` holds the key values that may carry a large share of
+    ``big``'s rows; the caller guarantees it is small (e.g. by a pigeonhole
+    bound).  Rows of hot keys meet their ``small`` rows map-side (broadcast);
+    the other rows are filtered map-side (broadcast anti-join) *before* the
+    shuffle join, so no key in that shuffle is hot.  The two parts are
+    disjoint, so their union is exactly ``big JOIN small``."""
+    hk = F.broadcast(hot_keys.select(key).distinct())
+    hot = big.join(F.broadcast(small.join(hk, key, "left_semi")), key)
+    cold = big.join(hk, key, "left_anti").join(small, key)
+    return hot.unionByName(cold)
