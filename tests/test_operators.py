@@ -223,3 +223,13 @@ def test_clean_filter_languages(spark):
                                 (3, "tiny", "en")], "id long, text string, lang string")
     assert rows(TX.clean_filter(df, "text", 20, langs=["en"]), "id") == [(1,)]
     assert sorted(rows(TX.clean_filter(df, "text", 20), "id")) == [(1,), (2,)]
+
+
+def test_split_hot_join_equals_plain_join(spark):
+    from urbanpulse.operators.joins import split_hot_join
+    big = spark.createDataFrame([(i, "hot" if i % 3 == 0 else (None if i % 11 == 0 else f"k{i % 7}")) for i in range(600)],
+                                "id int, k string")
+    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("zz", 4), (None, 5)], "k string, w int")
+    hot = spark.createDataFrame([("hot",), ("zz",)], "k string")
+    got = sorted(rows(split_hot_join(big, small, "k", hot), "id", "k", "w"))
+    assert got == sorted(rows(big.join(small, "k"), "id", "k", "w")) and len(got) > 200
