@@ -233,3 +233,15 @@ def test_split_hot_join_equals_plain_join(spark):
     hot = spark.createDataFrame([("hot",), ("zz",)], "k string")
     got = sorted(rows(split_hot_join(big, small, "k", hot), "id", "k", "w"))
     assert got == sorted(rows(big.join(small, "k"), "id", "k", "w")) and len(got) > 200
+
+
+def test_crosswalk_unbounded_path_isolates_hot_codes(spark):
+    region_map = spark.createDataFrame(
+        [("deals", str(c), f"R{c % 3}") for c in range(50)], "source string, code string, region_code string")
+    deals = spark.createDataFrame([(0 if i % 3 == 0 else (i % 60), float(i)) for i in range(900)] + [(None, 1.0)],
+                                  "CGG_CD int, v double")
+    plain = sorted(rows(crosswalk(deals, region_map, "deals", "CGG_CD"), "CGG_CD", "v", "region_code"), key=str)
+    split = crosswalk(deals, region_map, "deals", "CGG_CD", max_broadcast_rows=10)   # force the large-map path
+    got = sorted(rows(split, "CGG_CD", "v", "region_code"), key=str)
+    assert got == plain and len(got) == 901
+    assert sum(1 for r in got if r[2] is None) == sum(1 for i in range(900) if i % 3 and i % 60 >= 50) + 1

@@ -40,15 +40,30 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     return b.join(s, on + ["_salt"], how).drop("_salt")
 
 
+# A code is "hot" when it holds more than this share of the rows.
+HOT_SHARE = 1e-4
+
+
 def crosswalk(df: DataFrame, region_map: DataFrame, source: str, code_col: str,
-              out: str = "region_code") -> DataFrame:
+              out: str = "region_code", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Attach ``region_code`` for (source, code) by a left join; rows whose code
-    has no mapping are kept with a null region (see ``unmatched_codes``)."""
+    has no mapping are kept with a null region (see ``unmatched_codes``).
+
+    A crosswalk within ``max_broadcast_rows`` is broadcast.  A larger one is
+    joined with its hot codes isolated: one column-pruned count of the codes
+    finds those holding more than HOT_SHARE of the rows (fewer than
+    1/HOT_SHARE by pigeonhole), which join map-side; the rest shuffle without
+    a hot key."""
     # one region per code; a duplicated code resolves deterministically
     m = (region_map.where(F.col("source") == F.lit(source))
          .groupBy(F.col("code").alias("_code")).agg(F.min("region_code").alias(out)))
-    m = broadcast_if_bounded(m)
-    return (df.join(m, df[code_col].cast("string") == m["_code"], "left").drop("_code"))
+    keyed = df.withColumn("_code", F.col(code_col).cast("string"))
+    if bounded_rows(m, max_broadcast_rows):
+        return keyed.join(F.broadcast(m), "_code", "left").drop("_code")
+    counts = keyed.where(F.col("_code").isNotNull()).groupBy("_code").agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.select(F.sum("_n")).scalar()
+    hot = counts.where(F.col("_n") > total * F.lit(HOT_SHARE)).select("_code")
+    return split_hot_join(keyed, m, "_code", hot, how="left").drop("_code")
 
 
 def unmatched_codes(df: DataFrame, region_map: DataFrame, source: str, code_col: str) -> DataFrame:
@@ -58,8 +73,10 @@ def unmatched_codes(df: DataFrame, region_map: DataFrame, source: str, code_col:
     return codes.join(broadcast_if_bounded(m), F.col("code") == F.col("_code"), "left_anti")
 
 
-def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_keys: DataFrame) -> DataFrame:
-    """Inner equi-join on ``key`` with hot keys isolated.
+def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_keys: DataFrame,
+                   how: str = "inner") -> DataFrame:
+    """Equi-join (``inner`` or ``left``, big side preserved) on ``key`` with
+    hot keys isolated.
 
     ``hot_keys`` holds the key values that may carry a large share of
     ``big``'s rows; the caller guarantees it is small (e.g. by a pigeonhole
@@ -67,7 +84,9 @@ def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_keys: DataFra
     the other rows are filtered map-side (broadcast anti-join) *before* the
     shuffle join, so no key in that shuffle is hot.  The two parts are
     disjoint, so their union is exactly ``big JOIN small``."""
+    if how not in ("inner", "left"):
+        raise ValueError("split_hot_join supports inner and left joins")
     hk = F.broadcast(hot_keys.select(key).distinct())
-    hot = big.join(F.broadcast(small.join(hk, key, "left_semi")), key)
-    cold = big.join(hk, key, "left_anti").join(small, key)
+    hot = big.join(hk, key, "left_semi").join(F.broadcast(small.join(hk, key, "left_semi")), key, how)
+    cold = big.join(hk, key, "left_anti").join(small, key, how)
     return hot.unionByName(cold)
