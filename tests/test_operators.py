@@ -245,3 +245,13 @@ def test_crosswalk_unbounded_path_isolates_hot_codes(spark):
     got = sorted(rows(split, "CGG_CD", "v", "region_code"), key=str)
     assert got == plain and len(got) == 901
     assert sum(1 for r in got if r[2] is None) == sum(1 for i in range(900) if i % 3 and i % 60 >= 50) + 1
+
+
+def test_code_set_large_path_equals_broadcast_path(spark, monkeypatch):
+    import urbanpulse.operators.filters as FLT
+    df = spark.createDataFrame([(i, 9 if i % 3 == 0 else i % 40) for i in range(900)], "id int, code int")
+    codes = spark.createDataFrame([(str(c),) for c in range(0, 40, 3)], "c string")
+    small = sorted(rows(code_in_set(df, "code", codes), "id"))
+    monkeypatch.setattr(FLT, "BROADCAST_MAX_ROWS", 2)          # force the large-code-set path
+    large = sorted(rows(FLT.code_in_set(df, "code", codes), "id"))
+    assert small == large and len(small) > 300

@@ -60,10 +60,16 @@ def crosswalk(df: DataFrame, region_map: DataFrame, source: str, code_col: str,
     keyed = df.withColumn("_code", F.col(code_col).cast("string"))
     if bounded_rows(m, max_broadcast_rows):
         return keyed.join(F.broadcast(m), "_code", "left").drop("_code")
-    counts = keyed.where(F.col("_code").isNotNull()).groupBy("_code").agg(F.count(F.lit(1)).alias("_n"))
+    return split_hot_join(keyed, m, "_code", hot_values(keyed, "_code"), how="left").drop("_code")
+
+
+def hot_values(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """Values of ``key`` holding more than ``share`` of the non-null rows:
+    fewer than 1/share of them (pigeonhole), so the result is broadcastable.
+    One column-pruned, partially aggregated pass over ``df``."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.select(F.sum("_n")).scalar()
-    hot = counts.where(F.col("_n") > total * F.lit(HOT_SHARE)).select("_code")
-    return split_hot_join(keyed, m, "_code", hot, how="left").drop("_code")
+    return counts.where(F.col("_n") > total * F.lit(share)).select(key)
 
 
 def unmatched_codes(df: DataFrame, region_map: DataFrame, source: str, code_col: str) -> DataFrame:
@@ -75,8 +81,8 @@ def unmatched_codes(df: DataFrame, region_map: DataFrame, source: str, code_col:
 
 def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_keys: DataFrame,
                    how: str = "inner") -> DataFrame:
-    """Equi-join (``inner`` or ``left``, big side preserved) on ``key`` with
-    hot keys isolated.
+    """Equi-join (``inner``, ``left`` or ``left_semi``; big side preserved) on
+    ``key`` with hot keys isolated.
 
     ``hot_keys`` holds the key values that may carry a large share of
     ``big``'s rows; the caller guarantees it is small (e.g. by a pigeonhole
@@ -84,8 +90,8 @@ def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_keys: DataFra
     the other rows are filtered map-side (broadcast anti-join) *before* the
     shuffle join, so no key in that shuffle is hot.  The two parts are
     disjoint, so their union is exactly ``big JOIN small``."""
-    if how not in ("inner", "left"):
-        raise ValueError("split_hot_join supports inner and left joins")
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError("split_hot_join supports inner, left and left_semi joins")
     hk = F.broadcast(hot_keys.select(key).distinct())
     hot = big.join(hk, key, "left_semi").join(F.broadcast(small.join(hk, key, "left_semi")), key, how)
     cold = big.join(hk, key, "left_anti").join(small, key, how)
