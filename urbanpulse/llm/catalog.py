@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from urbanpulse.llm.langid import op8_language_id
+from urbanpulse.llm.licenses import op10_license_scans
+from urbanpulse.llm.packing import op4_best_fit_packing
 from urbanpulse.llm.tokencount import op6_token_counts
+from urbanpulse.llm.toxicity import op7_toxicity
+from urbanpulse.llm.urls import op9_url_filters
 
 QUERIES = {
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op6_token_counts": op6_token_counts,
+    "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
+    "op9_url_filters": op9_url_filters,
+    "op10_license_scans": op10_license_scans,
 }
 
 ORACLE_SQL: dict[str, str] = {}
