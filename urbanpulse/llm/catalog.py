@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from urbanpulse.llm.decontaminate import OP5_SQL, op5_decontamination
 from urbanpulse.llm.langid import op8_language_id
 from urbanpulse.llm.licenses import op10_license_scans
 from urbanpulse.llm.packing import op4_best_fit_packing
 from urbanpulse.llm.tokencount import op6_token_counts
 from urbanpulse.llm.toxicity import op7_toxicity
 from urbanpulse.llm.urls import op9_url_filters
+from urbanpulse.llm.vafile import OP3_SQL, op3_exact_top_k
 
 QUERIES = {
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
@@ -18,4 +22,7 @@ QUERIES = {
     "op10_license_scans": op10_license_scans,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_exact_top_k": OP3_SQL,
+    "op5_decontamination": OP5_SQL,
+}
