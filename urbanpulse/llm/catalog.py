@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from urbanpulse.llm.decontaminate import OP5_SQL, op5_decontamination
+from urbanpulse.llm.jaccard import op2_jaccard_join
 from urbanpulse.llm.langid import op8_language_id
 from urbanpulse.llm.licenses import op10_license_scans
 from urbanpulse.llm.packing import op4_best_fit_packing
@@ -12,6 +13,7 @@ from urbanpulse.llm.urls import op9_url_filters
 from urbanpulse.llm.vafile import OP3_SQL, op3_exact_top_k
 
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_decontamination": op5_decontamination,
