@@ -7,12 +7,14 @@ from urbanpulse.llm.jaccard import op2_jaccard_join
 from urbanpulse.llm.langid import op8_language_id
 from urbanpulse.llm.licenses import op10_license_scans
 from urbanpulse.llm.packing import op4_best_fit_packing
+from urbanpulse.llm.suffixdedup import op1_suffix_dedup
 from urbanpulse.llm.tokencount import op6_token_counts
 from urbanpulse.llm.toxicity import op7_toxicity
 from urbanpulse.llm.urls import op9_url_filters
 from urbanpulse.llm.vafile import OP3_SQL, op3_exact_top_k
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
