@@ -74,7 +74,7 @@ def rare_terms(corpus: DataFrame, phrases: DataFrame, keep: int) -> DataFrame:
     return (places.join(count, "term", "left").groupBy("phrase")
             .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "offset", "term")))
                  .alias("rare"))
-            .filter(F.col("rare")[0]["count"] > 0).select("phrase", F.slice("rare", 1, keep).alias("rare")))
+            .filter(F.get("rare", F.lit(0))["count"] > 0).select("phrase", F.slice("rare", 1, keep).alias("rare")))
 
 
 def build_index(corpus: DataFrame, anchors: DataFrame, extra_terms: DataFrame | None = None) -> DataFrame:
@@ -82,7 +82,7 @@ def build_index(corpus: DataFrame, anchors: DataFrame, extra_terms: DataFrame |
     ``anchors`` (phrase, rare).  ``around`` holds the words from ``before`` words
     ahead of the place on, as far as phrases whose rarest term this is need."""
     size = F.size(F.split("phrase", " "))
-    first, second = F.col("rare")[0], F.col("rare")[1]
+    first, second = F.get("rare", F.lit(0)), F.get("rare", F.lit(1))
     roles = (anchors.select(first["term"].alias("term"), first["offset"].alias("before"),
                             (size - first["offset"]).alias("after"))
              .unionByName(anchors.filter(second.isNotNull())
@@ -101,7 +101,7 @@ def build_index(corpus: DataFrame, anchors: DataFrame, extra_terms: DataFrame |
 
 def phrase_matches(index: DataFrame, anchors: DataFrame) -> DataFrame:
     """row, start, size, phrase of every exact place of the anchors' phrases."""
-    first, second = F.col("rare")[0], F.col("rare")[1]
+    first, second = F.get("rare", F.lit(0)), F.get("rare", F.lit(1))
     wanted = anchors.select("phrase", F.split("phrase", " ").alias("whole"), first["term"].alias("term"),
                             first["offset"].alias("offset"), second["term"].alias("term2"),
                             second["offset"].alias("offset2"))
