@@ -316,3 +316,40 @@ def test_inspect_cli(spark, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "FAILED:" in out and "id\tbigint\tnulls=0\trows=5" in out
     assert main([str(tmp_path / "missing")]) == 1
+
+
+def _lines(path, rows_, **kw):
+    import csv as C
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        C.writer(f, lineterminator="\n", **kw).writerows(rows_)
+
+
+def test_csv_keeps_quotes_and_backslashes(spark, tmp_path):
+    """Fields as Python's csv writes them come back whole; so do ours."""
+    from urbanpulse.sources import sinks as SK
+    want = [("1", 'T "X", 101', "20240101"), ("2", "ends in \\", "20240102"), ("3", 'a ""quoted"" b', "c,d")]
+    _lines(f"{tmp_path}/in/a.csv", [("A", "B", "C"), *want])
+    df = CSV.read_layout(spark, f"{tmp_path}/in").cache()
+    assert sorted(rows(df, "A", "B", "C")) == want and df.where(F.col(CSV.CORRUPT).isNotNull()).count() == 0
+    SK.write_csv(df.select("A", "B", "C"), f"{tmp_path}/out")
+    assert sorted(rows(CSV.read_layout(spark, f"{tmp_path}/out"), "A", "B", "C")) == want
+
+
+def test_every_file_binds_to_its_own_header(spark, tmp_path):
+    _lines(f"{tmp_path}/y/2021.csv", [("A", "B"), ("a1", "b1")])
+    _lines(f"{tmp_path}/y/2022.csv", [("B", "A", "N"), ("b2", "a2", "n2")])
+    got = sorted(rows(CSV.read_layout(spark, f"{tmp_path}/y", flag_corrupt=False), "A", "B", "N"))
+    assert got == [("a1", "b1", None), ("a2", "b2", "n2")]
+    df, skipped = CSV.read_years(spark, f"{tmp_path}/y/{{year}}.csv", year_regex=r"/(\d{4})\.csv")
+    assert sorted(rows(df, "A", "B", "YEAR")) == [("a1", "b1", 2021), ("a2", "b2", 2022)] and skipped == []
+
+
+def test_a_folder_with_an_unreadable_file_is_reported(spark, tmp_path):
+    spark.range(100).write.parquet(f"{tmp_path}/p/good")
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/p/bad")
+    with open(f"{tmp_path}/p/bad/part-9.parquet", "w") as f:
+        f.write("no parquet")
+    for schema in (None, spark.range(1).schema):
+        df, failed = PQ.read_parquet_folders(spark, root=f"{tmp_path}/p", schema=schema)
+        assert df.count() == 100 and [os.path.basename(k) for k in failed] == ["bad"]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..schemas import STRICT_MISSING
 from .strings import clean_str, strip_ws
 
 # Lenient: optional sign, digits with optional fraction (or a bare fraction),
@@ -35,8 +34,7 @@ def parse_lenient(c, keep_nan: bool = False) -> Column:
 
 
 def parse_strict(c) -> Column:
-    """Clean (BOM, trim), drop commas; missing markers and anything that is not
-    ``-?digits(.digits)?`` give null."""
+    """Without commas, byte order marks and surrounding blanks: a number if it
+    is ``-?digits(.digits)?``, else null (so also ``-``, ``N/A`` and the like)."""
     s = F.replace(clean_str(_col(c)), F.lit(","), F.lit(""))
-    return (F.when(s.isin(*STRICT_MISSING), F.lit(None).cast("double"))
-            .when(s.rlike(STRICT_NUMBER), s.try_cast("double")))
+    return F.when(s.rlike(STRICT_NUMBER), s.try_cast("double"))

@@ -29,11 +29,13 @@ def join_list(c, sep: str = ",") -> Column:
     return F.array_join(F.transform(_col(c), lambda x: x.cast("string")), sep)
 
 
+_NOT_IN_NAMES = str.maketrans("", "", BOM + '"')
+
+
 def normalize_header(h: str | None) -> str:
-    """Header cell -> column name: drop BOM and double quotes, trim.
+    """Header cell -> column name: byte order marks and double quotes deleted,
+    surrounding blanks stripped; null is empty.
 
     Operates on schema metadata (column names) on the driver, never on data.
     """
-    if h is None:
-        return ""
-    return h.replace(BOM, "").replace('""', '"').replace('"', "").strip()
+    return (h or "").translate(_NOT_IN_NAMES).strip()

@@ -68,22 +68,42 @@ def get_session(master: str | None = None, app: str = "urbanpulse",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Without that setting a local session (one machine) gets a temporary folder
+    of its own; any other session is an error, as its executors would write to
+    their own disks."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d.rstrip("/")
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        # Only reached where the session names no shared folder (local tests).
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="urbanpulse-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir().rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/urbanpulse-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/urbanpulse-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder below this application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application has staged, and the tables over it.
+    Frames that read staged data can't be used afterwards."""
+    root = scratch_root(spark)
+    for t in spark.catalog.listTables():
+        if t.tableType == "EXTERNAL" and t.name.startswith("customer_"):
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+    fs, p = hadoop_fs(spark, root)
+    fs.delete(p, True)
 
 
 def hadoop_fs(spark: SparkSession, path: str):

@@ -20,15 +20,14 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return r.parquet(path)
 
 
-def load_parquet_safely(spark: SparkSession, path: str):
-    """(frame, None) when the folder reads, (None, error text) otherwise;
-    the error surfaces at schema reading, before any data job."""
+def footer_error(spark: SparkSession, path: str) -> str | None:
+    """Why a folder's Parquet footers can't be read (all files are looked at,
+    in a Spark job over the footers only), or None if they can."""
     try:
-        df = spark.read.parquet(path)
-        df.schema  # noqa: B018 - forces footer/schema resolution
-        return df, None
-    except Exception as e:  # noqa: BLE001 - report and leave the folder out
-        return None, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+        spark.read.option("mergeSchema", "true").parquet(path)
+    except Exception as e:  # noqa: BLE001 - the reason is what is returned
+        return f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+    return None
 
 
 def read_parquet_folders(spark: SparkSession, root: str | None = None,
@@ -36,24 +35,18 @@ def read_parquet_folders(spark: SparkSession, root: str | None = None,
                          schema: T.StructType | None = None):
     """Read every sub-folder of ``root`` (or the given ``paths``).
 
-    With a ``schema``: one multi-path scan with ``ignoreCorruptFiles`` (files
-    that are not Parquet are skipped by the tasks).  Without: each folder is
-    opened separately, unreadable ones are reported and left out, and the
-    readable ones are bag-unioned by position (U1).
-    Returns (frame, {folder: error}); raises when no folder is readable.
+    The footers of every folder are checked first; a folder with an unreadable
+    file is reported and left out whole, never in part.  With a ``schema`` the
+    others are one multi-path scan; without, they are bag-unioned by position
+    (U1).  Returns (frame, {folder: error}); raises when no folder is readable.
     """
     folders = paths if paths is not None else (list_subfolders(spark, root) or [root])
-    if schema is not None:
-        df = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*folders)
-        return df, {}
-    ok, failed = [], {}
-    for f in folders:
-        df, err = load_parquet_safely(spark, f)
-        if df is None:
-            failed[f] = err
-            log.warning("unreadable parquet folder left out: %s (%s)", f, err)
-        else:
-            ok.append(df)
-    if not ok:
+    failed = {f: err for f in folders if (err := footer_error(spark, f))}
+    for f, err in failed.items():
+        log.warning("unreadable parquet folder left out: %s (%s)", f, err)
+    good = [f for f in folders if f not in failed]
+    if not good:
         raise ValueError(f"no readable parquet data under {root or paths}: {failed}")
-    return union_all(ok), failed
+    if schema is not None:
+        return spark.read.schema(schema).parquet(*good), failed
+    return union_all([spark.read.parquet(f) for f in good]), failed

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+# RFC 4180: a quoted field holds a quote as two quotes, a backslash is itself.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   dynamic: bool = True) -> None:
@@ -25,8 +28,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, partition_by: list[str] | None = None) -> None:
-    """CSV with header; null numbers are written as empty fields."""
-    w = df.write.mode("overwrite").option("header", header)
+    """RFC 4180 CSV with header (a quote inside a field is doubled); null
+    numbers are written as empty fields."""
+    w = df.write.mode("overwrite").options(**CSV_QUOTING).option("header", header)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
@@ -58,9 +62,10 @@ def load_counts(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def capped_periods(counts: DataFrame, cap: int, n_col: str = "n_rows") -> DataFrame:
-    """Load-check rows whose count equals the collector's per-period cap:
-    the period was probably truncated at the source."""
-    return counts.where(F.col(n_col) == F.lit(cap))
+    """Load-check rows whose count reaches the collector's limit: what was
+    collected for that period was probably cut off.  ``counts`` are per
+    collected unit (set, layout, and the period the collector asks for)."""
+    return counts.where(F.col(n_col) >= F.lit(cap))
 
 
 def sample_rows(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:
