@@ -61,7 +61,8 @@ def test_run_all(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     _raw(raw)
     region_map = spark.createDataFrame(
-        [("real_estate", "D1", "R1"), ("real_estate", "D2", "R2"), ("rent", "D1", "R1"), ("rent", "D2", "R2"),
+        [("real_estate", "G-D1", "R1"), ("real_estate", "-D1", "R1"), ("real_estate", "G-D2", "R2"),
+         ("rent", "-D1", "R1"), ("rent", "-D2", "R2"),
          ("sales", "T1", "R1"), ("sales", "T2", "R2"), ("population", "A1", "R1"), ("population", "A2", "R2")],
         "source string, code string, region_code string")
     texts = spark.createDataFrame(
@@ -91,6 +92,8 @@ def test_run_all(spark, tmp_path):
 
     silver = spark.read.parquet(outs["silver"])
     assert sorted(r[0] for r in silver.select("doc_id").collect()) == [1, 3]
+    assert spark.read.parquet(outs["keywords"]).select("region_code").distinct().count() == 2
+    assert spark.read.parquet(outs["topics"]).count() == 2
     gpi = spark.read.option("header", True).option("inferSchema", True).csv(outs["gpi"])
     assert gpi.where(F.col("gpi").isNotNull()).count() >= 1
 
@@ -112,12 +115,25 @@ def test_capped_periods(spark):
     assert [tuple(r) for r in capped_periods(c, 20000).collect()] == [("sales", 2023, 20000)]
 
 
+def test_a_sale_in_both_layouts_counts_once(spark, tmp_path):
+    from urbanpulse.plans.daily_run import read_collected, read_raw
+    from urbanpulse.schemas import SALES_API_COLUMNS
+    raw = str(tmp_path / "raw")
+    _raw(raw)
+    landed = [dict.fromkeys(SALES_API_COLUMNS, "") | {"STDR_YYQU_CD": q, "TRDAR_CD": "T1", "THSMON_SELNG_AMT": a}
+              for q, a in (("20241", "1000"), ("20243", "7"), ("20243", "7"))]
+    _write(f"{raw}/api/sales/sales.csv", [[r[c] for c in SALES_API_COLUMNS] for r in landed], quote_all=True)
+    got = sorted((r["STDR_YYQU_CD"], float(r["THSMON_SELNG_AMT"])) for r in read_raw(spark, raw, "sales").collect())
+    assert got == [("20241", 500.0), ("20241", 1000.0), ("20242", 2000.0), ("20243", 7.0)]
+    assert read_collected(spark, raw, "sales").count() == 2
+
+
 def test_cli_entry_point(spark, tmp_path):
     from urbanpulse.plans.daily_run import main
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     _raw(raw)
     with open(tmp_path / "map.csv", "w") as f:
-        f.write("source,code,region_code\nreal_estate,D1,R1\nrent,D2,R2\nsales,T1,R1\npopulation,A1,R1\n")
+        f.write("source,code,region_code\nreal_estate,G-D1,R1\nrent,-D2,R2\nsales,T1,R1\npopulation,A1,R1\n")
     outs = main(["--raw", raw, "--out", out, "--region-map", str(tmp_path / "map.csv"), "--profile", "local"])
     assert {"processed/real_estate", "sgi", "load_counts"} <= set(outs)
     sgi = spark.read.option("header", True).csv(outs["sgi"])
@@ -136,16 +152,16 @@ def test_run_all_on_driver_standins(spark, tmp_path):
     if not os.path.isdir(sf):
         pytest.skip("driver tables not present")
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
-    for name, df, rename in [("real_estate", SI.deals_raw(spark, sf, False), REAL_ESTATE_RENAME),
-                             ("rent", SI.rent_raw(spark, sf, False), RENT_RENAME)]:
+    for name, df, rename in [("real_estate", SI.deals_raw(spark, sf), REAL_ESTATE_RENAME),
+                             ("rent", SI.rent_raw(spark, sf), RENT_RENAME)]:
         inv = {v: k for k, v in rename.items()}
         SK.write_csv(df.select(*[F.col(c).alias(inv.get(c, c)) for c in df.columns]), f"{raw}/{name}")
-    # crosswalk: deals by part key, rent by order key -> region of the nation's region
-    region_map = (load(spark, sf, "part").select(F.lit("real_estate").alias("source"),
-                                                 F.col("p_partkey").cast("string").alias("code"),
-                                                 F.concat(F.lit("R"), (F.col("p_partkey") % 5).cast("string")).alias("region_code"))
+    # crosswalk: deals by supplier and part key, rent by customer and order key
+    region_map = (load(spark, sf, "lineitem").select(
+                      F.lit("real_estate").alias("source"), F.concat_ws("-", "l_suppkey", "l_partkey").alias("code"),
+                      F.concat(F.lit("R"), (F.col("l_partkey") % 5).cast("string")).alias("region_code")).distinct()
                   .unionByName(load(spark, sf, "orders").select(
-                      F.lit("rent").alias("source"), F.col("o_orderkey").cast("string").alias("code"),
+                      F.lit("rent").alias("source"), F.concat_ws("-", "o_custkey", "o_orderkey").alias("code"),
                       F.concat(F.lit("R"), (F.col("o_orderkey") % 5).cast("string")).alias("region_code"))))
     outs = run_all(spark, raw, out, region_map)
     assert spark.read.parquet(outs["processed/real_estate"]).count() == load(spark, sf, "lineitem").count()

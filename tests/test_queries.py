@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from urbanpulse.plans.catalog import ORACLE_SQL, QUERIES
 from urbanpulse.plans.tables import TABLES
 
 SF = os.environ.get("UP_TEST_SF", "/root/testdata/sf0.001")
@@ -37,12 +38,12 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"topics_lda"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     res = duck.execute(E.oracle_sql()[name])
@@ -52,10 +53,3 @@ def test_query_matches_oracle(spark, duck, name):
     s = Counter(tuple(_norm(r[c]) for c in order) for r in sdf.collect())
     d = Counter(tuple(_norm(r[dcols.index(c)]) for c in order) for r in res.fetchall())
     assert s == d
-
-
-def test_topics_lda_rows(spark):
-    df = E.queries()["topics_lda"](spark, SF)
-    docs = spark.read.parquet(f"{SF}/documents.parquet").count()
-    got = df.collect()
-    assert len(got) == docs and all(0 <= r["topic"] < 5 for r in got)

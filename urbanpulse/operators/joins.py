@@ -1,29 +1,14 @@
-"""Join helpers: size-checked broadcast, salted join for hot keys, and the
-code -> region crosswalk (J1 / P16)."""
+"""Join helpers: salted join for hot keys, hot-key isolation, and the
+code -> region crosswalk (J1 / P16).
+
+No join here is chosen by a count: Spark broadcasts a side by its runtime size
+(AQE), or keeps a sort-merge join and splits its skewed partitions.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Largest *input dimension table* (a scan, e.g. a crosswalk) we broadcast
-# explicitly after a cheap row check.  Derived or aggregated sides are never
-# pre-checked (that would run their upstream twice): AQE broadcasts them from
-# runtime statistics (spark.sql.adaptive.autoBroadcastJoinThreshold) or keeps
-# a sort-merge join and splits skewed partitions.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows, so the check stays cheap on a huge input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise leave the
-    strategy to Catalyst/AQE (sort-merge or runtime-converted broadcast)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                 salts: int = 16, salt_from: list[str] | None = None) -> DataFrame:
@@ -44,23 +29,23 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
 HOT_SHARE = 1e-4
 
 
-def crosswalk(df: DataFrame, region_map: DataFrame, source: str, code_col: str,
-              out: str = "region_code", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def crosswalk(df: DataFrame, region_map: DataFrame, source: str, code_col: str | list[str],
+              out: str = "region_code") -> DataFrame:
     """Attach ``region_code`` for (source, code) by a left join; rows whose code
     has no mapping are kept with a null region (see ``unmatched_codes``).
 
-    A crosswalk within ``max_broadcast_rows`` is broadcast.  A larger one is
-    joined with its hot codes isolated: one column-pruned count of the codes
-    finds those holding more than HOT_SHARE of the rows (fewer than
-    1/HOT_SHARE by pigeonhole), which join map-side; the rest shuffle without
-    a hot key."""
+    ``code_col`` may name several columns: their texts joined by ``-`` are the
+    code (e.g. district and neighbourhood, as neighbourhood codes repeat)."""
+    cols = [code_col] if isinstance(code_col, str) else list(code_col)
     # one region per code; a duplicated code resolves deterministically
     m = (region_map.where(F.col("source") == F.lit(source))
          .groupBy(F.col("code").alias("_code")).agg(F.min("region_code").alias(out)))
-    keyed = df.withColumn("_code", F.col(code_col).cast("string"))
-    if bounded_rows(m, max_broadcast_rows):
-        return keyed.join(F.broadcast(m), "_code", "left").drop("_code")
-    return split_hot_join(keyed, m, "_code", hot_values(keyed, "_code"), how="left").drop("_code")
+    code = F.concat_ws("-", *[F.col(c).cast("string") for c in cols]) if len(cols) > 1 else F.col(cols[0]).cast("string")
+    return df.withColumn("_code", code).join(m, "_code", "left").drop("_code")
+
+
+# A key is "hot" when it holds more than this share of the rows.
+HOT_SHARE = 1e-4
 
 
 def hot_values(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
@@ -76,7 +61,7 @@ def unmatched_codes(df: DataFrame, region_map: DataFrame, source: str, code_col:
     """Codes of ``df`` without a crosswalk entry, with their row counts."""
     m = region_map.where(F.col("source") == F.lit(source)).select(F.col("code").alias("_code"))
     codes = df.groupBy(F.col(code_col).cast("string").alias("code")).count()
-    return codes.join(broadcast_if_bounded(m), F.col("code") == F.col("_code"), "left_anti")
+    return codes.join(m, F.col("code") == F.col("_code"), "left_anti")
 
 
 def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_keys: DataFrame,

@@ -54,7 +54,8 @@ QUERIES = {
     "text_clean_filter": T.text_clean_filter,
     "sentiment_monthly": T.sentiment_monthly,
     "keywords_tfidf": T.keywords_tfidf,
-    "topics_lda": T.topics_lda,
+    "keywords_region_month": T.keywords_region_month,
+    "topics": T.topics,
     "embedding_centroid_cosine": T.embedding_centroid_cosine,
     "ugi_index": T.ugi_index,
     "gpi_index": T.gpi_index,
@@ -106,6 +107,8 @@ ORACLE_SQL = {
     "text_clean_filter": OT.TEXT_CLEAN_FILTER,
     "sentiment_monthly": OT.SENTIMENT_MONTHLY,
     "keywords_tfidf": OT.KEYWORDS_TFIDF,
+    "keywords_region_month": OT.KEYWORDS_REGION_MONTH,
+    "topics": OT.TOPIC_SQL,
     "embedding_centroid_cosine": OT.EMBEDDING_CENTROID_COSINE,
     "ugi_index": OT.UGI_INDEX,
     "gpi_index": OT.GPI_INDEX,

@@ -74,8 +74,7 @@ def csv_multi_year(spark, d):
     landed = _orders_landed(spark, d).withColumn("orders_year", F.substring("o_orderdate", 1, 4))
     SK.write_csv(landed, root, partition_by=["orders_year"])
     template = root + "/orders_year={year}"
-    df, _skipped = CSV.read_years(spark, template, range(1994, 2003), columns=ORDERS_LANDED,
-                                  year_regex=r"orders_year=(\d{4})")
+    df, _skipped = CSV.read_years(spark, template, columns=ORDERS_LANDED, year_regex=r"orders_year=(\d{4})")
     return _orders_typed(df, "YEAR")
 
 
@@ -206,7 +205,6 @@ def processed_population(spark, d):
 
 
 def load_counts(spark, d):
-    # only YEAR is needed: light per-row work, scans used as read
-    parts = [PR.processed_real_estate(SI.deals_raw(spark, d, False)), PR.processed_rent(SI.rent_raw(spark, d, False)),
-             PR.processed_sales(SI.sales_raw(spark, d, False)), PR.processed_population(SI.population_raw(spark, d, False))]
+    parts = [PR.processed_real_estate(SI.deals_raw(spark, d)), PR.processed_rent(SI.rent_raw(spark, d)),
+             PR.processed_sales(SI.sales_raw(spark, d)), PR.processed_population(SI.population_raw(spark, d))]
     return SK.load_counts(union_all([p.select("DATA_SRC", "YEAR") for p in parts]), ["DATA_SRC", "YEAR"])

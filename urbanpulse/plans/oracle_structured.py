@@ -55,12 +55,14 @@ IND_RENT = WITH_IND + " SELECT region_code, period, rent FROM ind"
 IND_SALES = WITH_IND + " SELECT region_code, period, sales FROM ind"
 IND_YOUTH = WITH_IND + """
 SELECT region_code, period, youth_share,
-       youth_share - lag(youth_share) OVER (PARTITION BY region_code ORDER BY period) AS youth_inflow
+       CASE WHEN lag(period) OVER (PARTITION BY region_code ORDER BY period) = CASE WHEN period % 10 = 1 THEN period - 7 ELSE period - 1 END
+         THEN youth_share - lag(youth_share) OVER (PARTITION BY region_code ORDER BY period) END AS youth_inflow
 FROM ind"""
 IND_SENIOR = "WITH " + _ORDERS_BY_REGION + """,
 s AS (SELECT region_code, period,
         count_if(o_orderpriority = '5-LOW') / count(*) AS senior_share
       FROM o GROUP BY region_code, period)
 SELECT region_code, period, senior_share,
-       -1.0::DOUBLE * (senior_share - lag(senior_share) OVER (PARTITION BY region_code ORDER BY period)) + 0.0::DOUBLE AS senior_outflow
+       CASE WHEN lag(period) OVER (PARTITION BY region_code ORDER BY period) = CASE WHEN period % 10 = 1 THEN period - 7 ELSE period - 1 END
+         THEN -1.0::DOUBLE * (senior_share - lag(senior_share) OVER (PARTITION BY region_code ORDER BY period)) + 0.0::DOUBLE END AS senior_outflow
 FROM s"""

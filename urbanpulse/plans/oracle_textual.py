@@ -1,7 +1,8 @@
 """DuckDB oracle SQL for the text layer, UGI/GPI, crosswalk and W1-W3."""
 
 from .oracle_structured import SGI_CTES, WITH_IND
-from .textual import LEXICON, MIN_CHARS
+from ..operators.text import TOPIC_SCALE
+from .textual import LEXICON, MIN_CHARS, TOPIC_PASSES, TOPICS
 
 _TOKS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: x <> '')"
 _URL = r"""(?i)(?:https?://|www\.)[^\s<>"']+"""
@@ -67,6 +68,39 @@ sc AS (SELECT tf.doc_id, tf.tok, tf.tf, tf.tf * ln((n.n + 1.0) / (df.df + 1.0))
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, tok) AS rank FROM sc)
 SELECT doc_id, CAST(rank AS INTEGER) AS rank, tok, tf, round(score, 4) AS score FROM r WHERE rank <= 3"""
 
+KEYWORDS_REGION_MONTH = f"""
+WITH t AS (SELECT 'NATION_' || substr(source, 4) AS region_code, CAST(1995 + (doc_id // 12) % 6 AS INTEGER) AS YEAR,
+                  CAST(doc_id % 12 + 1 AS INTEGER) AS MONTH, text FROM documents),
+u AS (SELECT region_code, YEAR, MONTH, unnest({_TOKS}) AS tok FROM t),
+tf AS (SELECT region_code, YEAR, MONTH, tok, count(*) AS tf FROM u GROUP BY ALL),
+df AS (SELECT tok, count(*) AS df FROM tf GROUP BY tok),
+n AS (SELECT count(*) AS n FROM (SELECT DISTINCT region_code, YEAR, MONTH FROM t)),
+sc AS (SELECT tf.*, tf.tf * ln((n.n + 1.0) / (df.df + 1.0)) AS score FROM tf JOIN df USING (tok) CROSS JOIN n),
+r AS (SELECT *, row_number() OVER (PARTITION BY region_code, YEAR, MONTH ORDER BY score DESC, tok) AS rank FROM sc)
+SELECT region_code, YEAR, MONTH, CAST(rank AS INTEGER) AS rank, tok, tf, round(score, 4) AS score FROM r WHERE rank <= 3"""
+
+
+def _topic_pass(i: int) -> str:
+    """One pass: token counts per topic, their totals, document scores, the
+    best topic."""
+    ks = range(TOPICS)
+    counts = ", ".join(f"CAST(sum(CASE WHEN topic = {t} THEN tf ELSE 0 END) AS BIGINT) AS n{t}" for t in ks)
+    totals = ", ".join(f"CAST(sum(n{t}) + count(*) AS DOUBLE) AS s{t}" for t in ks)
+    score = ", ".join(f"sum(tf * CAST(floor(ln((n{t} + 1) / s{t}) * {TOPIC_SCALE}) AS BIGINT))" for t in ks)
+    return f""",
+c{i} AS (SELECT tok, {counts} FROM tf JOIN a{i} USING (doc_id) GROUP BY tok),
+s{i} AS (SELECT {totals} FROM c{i}),
+a{i + 1} AS (SELECT doc_id, CAST(list_position(score, list_max(score)) - 1 AS INTEGER) AS topic FROM (
+  SELECT doc_id, [{score}] AS score FROM tf JOIN c{i} USING (tok) CROSS JOIN s{i} GROUP BY doc_id))"""
+
+
+TOPIC_SQL = f"""
+WITH t AS (SELECT doc_id, unnest({_TOKS}) AS tok FROM documents),
+tf AS (SELECT doc_id, tok, count(*) AS tf FROM t GROUP BY doc_id, tok),
+a0 AS (SELECT DISTINCT doc_id, CAST((doc_id % 2147483648 * 2654435761 % 4294967296) // 65536 % {TOPICS} AS INTEGER) AS topic
+       FROM tf)""" + "".join(map(_topic_pass, range(TOPIC_PASSES))) + f"""
+SELECT doc_id, topic FROM documents LEFT JOIN a{TOPIC_PASSES} USING (doc_id)"""
+
 _CENTROID = """
 e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 x AS (SELECT label, unnest(generate_series(1, len(v))) AS pos, unnest(v) AS val FROM e),
@@ -131,5 +165,6 @@ FROM ind"""
 
 PERIOD_CHANGE = WITH_IND + """
 SELECT region_code, period, sales,
-       sales - lag(sales) OVER (PARTITION BY region_code ORDER BY period) AS change
+       CASE WHEN lag(period) OVER (PARTITION BY region_code ORDER BY period) = CASE WHEN period % 10 = 1 THEN period - 7 ELSE period - 1 END
+         THEN sales - lag(sales) OVER (PARTITION BY region_code ORDER BY period) END AS change
 FROM ind"""

@@ -13,8 +13,7 @@ senior share   share of orders with priority 5-LOW
 
 Plan shape: lineitem is aggregated per order (its exchange on l_orderkey is
 reused by the join to orders), orders get their region through customer
-(shuffle join; AQE may convert it to a broadcast from runtime sizes) and the
-fixed 25-row nation table (broadcast behind a row check).  One grouped
+and the nation table (Spark broadcasts either by its size).  One grouped
 aggregate then yields all five indicators; everything after it works on
 (#regions x #periods) rows.
 """
@@ -26,7 +25,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.periods import period_key
 from ..operators.index import composite_index
 from ..operators.indicators import to_long
-from ..operators.joins import broadcast_if_bounded
 from ..operators.normalize import period_change
 from ..session import materialize
 from .tables import load
@@ -41,8 +39,7 @@ def orders_by_region(spark: SparkSession, d: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority",
         period_key(F.year("o_orderdate"), F.quarter("o_orderdate")).alias("period"))
     c = load(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = broadcast_if_bounded(load(spark, d, "nation")
-                             .select("n_nationkey", F.col("n_name").alias("region_code")))
+    n = load(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("region_code"))
     return (o.join(c, o.o_custkey == c.c_custkey)
             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
             .select("o_orderkey", "region_code", "period", "o_totalprice", "o_orderpriority"))

@@ -29,6 +29,7 @@ LEXICON = {
     "le": 0.25, "la": -0.25, "der": 0.5, "die": -0.5, "el": 0.25, "de": -0.25,
 }
 MIN_CHARS = 20
+MONTH_KEYS = ["region_code", "YEAR", "MONTH"]
 UGI_FEATURES = ["sentiment", "hit_rate", "n_docs", "cosine"]
 
 
@@ -43,8 +44,8 @@ def _doc_keys(df: DataFrame) -> DataFrame:
 # ---- T1, F8 ----------------------------------------------------------------
 
 def text_clean_filter(spark: SparkSession, d: str) -> DataFrame:
-    docs = load(spark, d, "documents", heavy_rows=True).select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), "text")
-    pages = load(spark, d, "pages", heavy_rows=True).select(F.lit("page").alias("src"), F.col("page_id").alias("id"),
+    docs = load(spark, d, "documents").select(F.lit("doc").alias("src"), F.col("doc_id").alias("id"), "text")
+    pages = load(spark, d, "pages").select(F.lit("page").alias("src"), F.col("page_id").alias("id"),
                                            strip_tags("html").alias("text"))
     u = docs.unionByName(pages).withColumn(
         "uid", F.col("id") * 2 + F.when(F.col("src") == "page", 1).otherwise(0))
@@ -59,24 +60,33 @@ def text_clean_filter(spark: SparkSession, d: str) -> DataFrame:
 # ---- T2, A8 ----------------------------------------------------------------
 
 def sentiment_monthly(spark, d):
-    docs = _doc_keys(load(spark, d, "documents", heavy_rows=True).select("doc_id", "source", "text"))
-    scored = TX.lexicon_scores(docs, "text", LEXICON)
-    return TX.sentiment_by(scored, ["region_code", "YEAR", "MONTH"])
+    docs = _doc_keys(load(spark, d, "documents").select("doc_id", "source", "text"))
+    return TX.sentiment_rates(TX.lexicon_scores(docs, "text", TX.lexicon_table(spark, LEXICON), MONTH_KEYS))
 
 
 # ---- T3, W4 ----------------------------------------------------------------
 
 def keywords_tfidf(spark, d):
-    docs = load(spark, d, "documents", heavy_rows=True).select("doc_id", "text")
-    top = TX.tfidf_top_k(docs, "doc_id", "text", k=3, n_docs=load(spark, d, "documents"))
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    top = TX.tfidf_top_k(docs, "doc_id", "text", k=3)
     return top.select("doc_id", "rank", "tok", "tf", F.round("score", 4).alias("score"))
 
 
+def keywords_region_month(spark, d):
+    """Top keywords per region and month."""
+    docs = _doc_keys(load(spark, d, "documents").select("doc_id", "source", "text"))
+    top = TX.tfidf_top_k(docs, MONTH_KEYS, "text", k=3)
+    return top.select(*MONTH_KEYS, "rank", "tok", "tf", F.round("score", 4).alias("score"))
+
+
 # ---- T4 --------------------------------------------------------------------
 
-def topics_lda(spark, d):
-    docs = load(spark, d, "documents", heavy_rows=True).select("doc_id", "text")
-    return TX.lda_topics(docs, "doc_id", "text", k=5)
+TOPICS, TOPIC_PASSES = 5, 3
+
+
+def topics(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return TX.topics(docs, "doc_id", "text", k=TOPICS, passes=TOPIC_PASSES)
 
 
 # ---- T5 --------------------------------------------------------------------
@@ -89,22 +99,15 @@ def embedding_centroid_cosine(spark, d):
 
 # ---- T6 (UGI), J3 + G2 (GPI) -----------------------------------------------
 
-MONTH_KEYS = ["region_code", "YEAR", "MONTH"]
-
-
 def ugi_features(spark, d) -> DataFrame:
     """Monthly text features per (region_code, YEAR, MONTH)."""
-    docs = _doc_keys(load(spark, d, "documents", heavy_rows=True).select("doc_id", "source", "text"))
-    scored = TX.lexicon_scores(docs, "text", LEXICON).drop("text")
+    docs = _doc_keys(load(spark, d, "documents").select("doc_id", "source", "text"))
+    scores = TX.sentiment_rates(TX.lexicon_scores(docs, "text", TX.lexicon_table(spark, LEXICON), MONTH_KEYS))
     cos = TX.centroid_cosine(load(spark, d, "embeddings"), "label", "embedding").select(
         F.col("vec_id").alias("doc_id"), "cosine")
-    j = scored.join(cos, "doc_id", "left")
-    n = F.sum("n_tokens")
-    return j.groupBy(*MONTH_KEYS).agg(
-        (F.sum("weight") / F.nullif(n, F.lit(0))).alias("sentiment"),
-        (F.sum("hits") / F.nullif(n, F.lit(0))).alias("hit_rate"),
-        F.count(F.lit(1)).cast("double").alias("n_docs"),
-        F.avg("cosine").alias("cosine"))
+    near = docs.drop("text").join(cos, "doc_id").groupBy(*MONTH_KEYS).agg(F.avg("cosine").alias("cosine"))
+    return (scores.join(near, MONTH_KEYS, "left")
+            .select(*MONTH_KEYS, "sentiment", "hit_rate", F.col("n_docs").cast("double").alias("n_docs"), "cosine"))
 
 
 def ugi_frame(spark, d) -> DataFrame:
