@@ -142,7 +142,7 @@ def _gram_blocks(buckets: int, hot):
 
 
 def _repeated_grams(blocks: pa.Table) -> pa.Table:
-    """tid, grams: the short hashes of each text that stand in another too."""
+    """tid, gram: the short hashes of each text that stand in another too."""
     hs, tids = [], []
     for data in blocks.column("block").to_pylist():
         planes, local, tid = _unpack(data)
@@ -155,13 +155,7 @@ def _repeated_grams(blocks: pa.Table) -> pa.Table:
     start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
     several = np.minimum.reduceat(tid, start) != np.maximum.reduceat(tid, start)
     keep = np.repeat(several, np.diff(np.append(start, len(h))))
-    h, tid = h[keep], tid[keep]
-    order = np.lexsort((h, tid))
-    h, tid = h[order], tid[order]
-    start = np.flatnonzero(np.concatenate(([True], tid[1:] != tid[:-1]))) if len(tid) else np.zeros(0, np.int64)
-    parts = np.split(h, start[1:]) if len(start) else []
-    return pa.table({"tid": pa.array(tid[start], pa.int64()),
-                     "grams": pa.array([np.unique(p).astype("<u8").tobytes() for p in parts], pa.binary())})
+    return pa.table({"tid": pa.array(tid[keep]), "gram": pa.array(h[keep].view(np.int64))})
 
 
 def _compress(batches):
@@ -238,7 +232,7 @@ def _suffix_runs(buckets: int, hot):
                 for d, t, z, grams in zip(*(part.column(c).to_pylist() for c in names)):
                     data = grow.decompress(z)
                     _, at, h = anchors([data])
-                    sent = np.unique(np.concatenate([np.frombuffer(g, "<u8") for g in grams])) if grams else np.zeros(0, np.uint64)
+                    sent = np.unique(np.array(grams or [], dtype=np.uint64))
                     keep = _is_in(_short(h), sent) | _is_in(h, hot.value)
                     if keep.any():
                         held.append((d, t, data, at[keep], h[keep]))
@@ -294,7 +288,7 @@ def window_spans(order_lcp: np.ndarray, before: np.ndarray, reach: np.ndarray, b
 
 
 def _merged_spans(blocks: pa.Table) -> pa.Table:
-    """doc_id, tid, spans (start and stop as numbers) of a bucket's runs."""
+    """doc_id, tid, span (see ``span_code``) of a bucket's runs."""
     runs, shared, before, back, reach, entry_doc, users, out = [], [], [], [], [], [], [], []
     for data in blocks.column("block").to_pylist():
         (lcp, size, rest, left, left_size, doc, tid, entry, who, at, done, start, stop) = _unpack(data)
@@ -319,12 +313,17 @@ def _merged_spans(blocks: pa.Table) -> pa.Table:
         hit = a <= b
         out.append((doc[hit], tid[hit], (pos - b)[hit], (pos - a)[hit] + LENGTH))
     doc, tid, start, stop = (np.concatenate(c) for c in zip(*out))
-    sort = np.lexsort((start, tid, doc))
-    doc, tid, start, stop = doc[sort], tid[sort], start[sort], stop[sort]
-    first = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tid[1:] != tid[:-1])))) if len(doc) else np.zeros(0, int)
-    spans = [joined(a, b) for a, b in zip(np.split(start, first[1:]), np.split(stop, first[1:]))] if len(first) else []
-    return pa.table({"doc_id": pa.array(doc[first], pa.int64()), "tid": pa.array(tid[first], pa.int64()),
-                     "spans": pa.array([np.stack(s).astype("<i8").tobytes() for s in spans], pa.binary())})
+    return pa.table({"doc_id": pa.array(doc), "tid": pa.array(tid), "span": pa.array(span_code(start, stop))})
+
+
+def span_code(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """One number per span; the windows that hold one anchor cover under 256 bytes."""
+    return start.astype(np.int64) << 8 | (stop - start)
+
+
+def span_ends(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    start = code >> 8
+    return start, start + (code & 255)
 
 
 def joined(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -348,8 +347,7 @@ def _cut(batches):
                 if copy and len(data) >= LENGTH:
                     start, stop = np.array([0]), np.array([len(data)])
                 elif spans:
-                    both = [np.frombuffer(s, "<i8").reshape(2, -1) for s in spans]
-                    start, stop = joined(np.concatenate([b[0] for b in both]), np.concatenate([b[1] for b in both]))
+                    start, stop = joined(*span_ends(np.array(spans, dtype=np.int64)))
                 else:
                     start = stop = np.zeros(0, np.int64)
                 edges = [0, *(x for ab in zip(start.tolist(), stop.tolist()) for x in ab), len(data)]
@@ -388,16 +386,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     buckets = int(volume // BUCKET_GRAMS) + 1
     repeated = (with_id.select("tid", "text").mapInArrow(_gram_blocks(buckets, hot), "bucket int, block binary")
-                .groupBy("bucket").applyInArrow(_repeated_grams, "tid long, grams binary")
-                .groupBy("tid").agg(F.collect_list("grams").alias("grams")))
+                .groupBy("bucket").applyInArrow(_repeated_grams, "tid long, gram long")
+                .groupBy("tid").agg(F.collect_list("gram").alias("grams")))
     wanted = texts.join(repeated, "tid", "left").select(F.col("first").alias("doc_id"), "tid", "grams")
 
     buckets = int(volume // (4 * BUCKET_SUFFIXES)) + 1
     spans = (with_id.select("doc_id", "tid", "text").mapInArrow(_compress, "doc_id long, tid long, text binary")
              .join(wanted, ["doc_id", "tid"])
              .mapInArrow(_suffix_runs(buckets, hot), "bucket int, block binary")
-             .groupBy("bucket").applyInArrow(_merged_spans, "doc_id long, tid long, spans binary")
-             .groupBy("doc_id", "tid").agg(F.collect_list("spans").alias("spans")))
+             .groupBy("bucket").applyInArrow(_merged_spans, "doc_id long, tid long, span long")
+             .groupBy("doc_id", "tid").agg(F.collect_list("span").alias("spans")))
     found = (keys.select("doc_id", "tid").distinct().join(texts.select("tid", "first"), "tid")
              .select("doc_id", "tid", (F.col("doc_id") > F.col("first")).alias("is_copy"))
              .join(stage_table(spans, "spans"), ["doc_id", "tid"], "left"))
