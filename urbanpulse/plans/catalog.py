@@ -3,6 +3,7 @@ SQL for every query SQL can express.  Names follow SURVEY §7.3."""
 
 from __future__ import annotations
 
+from . import city as CT
 from . import expressions as X
 from . import landing as L
 from . import oracle_landing as OL
@@ -63,6 +64,8 @@ QUERIES = {
     "zscore": T.zscore_query,
     "minmax_100": T.minmax_query,
     "period_change": T.period_change_query,
+    "city_indicators": CT.city_indicators,
+    "month_ends": CT.month_ends,
 }
 
 ORACLE_SQL = {
@@ -116,4 +119,6 @@ ORACLE_SQL = {
     "zscore": OT.ZSCORE,
     "minmax_100": OT.MINMAX_100,
     "period_change": OT.PERIOD_CHANGE,
+    "city_indicators": CT.CITY_INDICATORS_SQL,
+    "month_ends": CT.MONTH_ENDS_SQL,
 }
