@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..schemas import all_string_schema
 from ..session import checkpoint_root
+from ..sources.sinks import CSV_QUOTING
 
 
 def _run(df: DataFrame, out_path: str, checkpoint: str | None, partition_by: list[str] | None,
@@ -30,10 +31,12 @@ def ingest_landed_csv(spark: SparkSession, landing_dir: str, columns: list[str],
                       partition_by: list[str] | None = ("YEAR",), name: str = "csv",
                       max_files_per_trigger: int | None = None) -> int:
     """Process the CSV files landed in ``landing_dir`` since the last run
-    (header per file, all fields text, bound to ``columns``); returns the
-    number of input rows handled by this run."""
-    r = (spark.readStream.schema(all_string_schema(columns)).option("header", True)
-         .option("mode", "PERMISSIVE"))
+    (RFC 4180, all fields text); returns the number of input rows handled by
+    this run.  A stream has one column order: a file whose header isn't
+    ``columns`` stops the run instead of shifting its fields (read such folders
+    with ``sources.csv.read_layout``)."""
+    r = (spark.readStream.schema(all_string_schema(columns)).options(**CSV_QUOTING).option("header", True)
+         .option("enforceSchema", False).option("mode", "PERMISSIVE"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return _run(process(r.csv(landing_dir)), out_path, checkpoint, list(partition_by or []), name)
