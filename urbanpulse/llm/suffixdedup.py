@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from urbanpulse.llm.anchors import GRAMS, K, LENGTH, anchors
 from urbanpulse.llm.common import encoded, slices, table
@@ -400,11 +401,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
              .select("doc_id", "tid", (F.col("doc_id") > F.col("first")).alias("is_copy"))
              .join(stage_table(spans, "spans"), ["doc_id", "tid"], "left"))
 
-    row = docs.schema["row"].dataType.simpleString()
-    whole = (docs.select("row", "doc_id", "tid", "text").mapInArrow(_compress, f"row {row}, doc_id long, tid long, text binary")
+    row = T.StructType([docs.schema["row"]])
+    whole = (docs.select("row", "doc_id", "tid", "text")
+             .mapInArrow(_compress, row.add("doc_id", "long").add("tid", "long").add("text", "binary"))
              .join(found, ["doc_id", "tid"], "left"))
-    return whole.select("row", "text", "is_copy", "spans").mapInArrow(
-        _cut, f"row {row}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    out = T.StructType([docs.schema["row"]])
+    for name in ("n_bytes", "n_removed", "n_spans"):
+        out = out.add(name, "long")
+    return whole.select("row", "text", "is_copy", "spans").mapInArrow(_cut, out.add("kept_sha256", "string").add("kept", "string"))
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
