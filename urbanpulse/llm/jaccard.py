@@ -13,6 +13,8 @@ in one component then needs no further comparison.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -136,20 +138,20 @@ def _compatible(percent: int, a: str = "n_a", b: str = "n_b") -> Column:
     return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
 
 
-def _possible(percent: int) -> Column:
-    """Whether ``c`` shared prefix shingles leave the similarity possible: all
-    common shingles up to the end of the shorter-reaching prefix are among
-    them, and that document has ceil(t n) - 1 others."""
-    return F.expr(f"""c + greatest(({percent} * n_a + 99) div 100, ({percent} * n_b + 99) div 100) - 1
-                      >= ({percent} * (n_a + n_b) + {100 + percent} - 1) div {100 + percent}""")
+def _needed(percent: int) -> str:
+    """SQL for the fewest shared prefix shingles that leave the similarity
+    possible: all common shingles up to the end of the shorter-reaching prefix
+    are among them, and that document has ceil(t n) - 1 others."""
+    return f"""greatest(1, ({percent} * (n_a + n_b) + {100 + percent} - 1) div {100 + percent} + 1
+                 - greatest(({percent} * n_a + 99) div 100, ({percent} * n_b + 99) div 100))"""
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Stored links a, b: those of the ``pairs`` of nodes whose whole sets are
-    similar enough.  Sets are made again from the texts of the nodes' first
-    documents."""
-    need = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-            .join(nodes, "node").select("node", F.col("rep").alias("doc_id")))
+def _sets(docs: DataFrame, nodes: DataFrame, need: DataFrame, size: int) -> str:
+    """Name of a table node, set (sorted hashes): whole sets of the needed
+    nodes, made again from the texts of their first documents.  It is bucketed
+    by node, so that the joins of every round leave it where it is; its caller
+    drops it.  (A node may stand in it twice, if a row is repeated.)"""
+    need = need.select("node").distinct().join(nodes, "node").select("node", F.col("rep").alias("doc_id"))
 
     def sets(batches):
         for batch in batches:
@@ -160,8 +162,16 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
                     out.append(s.tobytes() if len(s) and int(_digest(s, 1).view(np.int64)) == node[i] else None)
                 yield pa.RecordBatch.from_pydict({"node": part.column("node"), "set": pa.array(out, pa.binary())})
 
-    stored = stage_table(docs.join(need, "doc_id").select("node", "text").mapInArrow(sets, "node long, set binary")
-                         .filter("set is not null").dropDuplicates(["node"]), "sets")
+    name, buckets = f"sets_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (docs.join(need, "doc_id").select("node", "text").mapInArrow(sets, "node long, set binary").filter("set is not null")
+     .repartition(buckets, "node").write.bucketBy(buckets, "node").sortBy("node").saveAsTable(name))
+    return name
+
+
+def _verified(pairs: DataFrame, sets: str, percent: int) -> DataFrame:
+    """Stored links a, b: the ``pairs`` of nodes whose whole sets are similar
+    enough."""
+    sets = pairs.sparkSession.table(sets)
 
     def check(batches):
         for batch in batches:
@@ -172,8 +182,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with_sets = (pairs.join(stored.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-                 .join(stored.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"))
+    with_sets = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
+                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"))
     return stage_table(with_sets.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long"), "verified")
 
 
@@ -208,8 +218,12 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
               .withColumns({"low": F.min("gid").over(of_key), "high": F.max("gid").over(of_key)})
               .filter("low < high").select("key", "gid").distinct())
     shared = stage_table(shared.join(groups.select("gid", "n", "rep"), "gid")
-                         .withColumns({"sharing": F.count("*").over(of_key),
-                                       "first": F.min(F.struct("rep", "gid", "n")).over(of_key)}), "shared")
+                         .withColumn("sharing", F.count("*").over(of_key))
+                         # 1: of the group's keys the one that most groups share
+                         .withColumn("rank", F.row_number().over(
+                             Window.partitionBy("gid").orderBy(F.desc("sharing"), "key")))
+                         .withColumn("large", F.sum((F.col("sharing") > SMALL_KEY).cast("int"))
+                                     .over(Window.partitionBy("gid"))), "shared")
 
     # pairs of groups: all within small keys; with the leader in the others
     def pairs_of(left: DataFrame, right: DataFrame, on: Column) -> DataFrame:
@@ -217,18 +231,27 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
         b = right.select(*[F.col(c).alias(f"{c}_b") for c in right.columns])
         return a.join(b, on & _compatible(percent))
 
-    small = shared.filter(F.col("sharing") <= SMALL_KEY).select("key", "gid", "n")
+    small = shared.filter(F.col("sharing") <= SMALL_KEY).select("key", "gid", "n", "rank", "large")
     in_small = stage_table(
         pairs_of(small, small, F.expr("key_a = key_b and gid_a < gid_b"))
-        .groupBy("gid_a", "gid_b", "n_a", "n_b").agg(F.count("*").alias("c")), "small_pairs")
+        .groupBy("gid_a", "gid_b", "n_a", "n_b", "large_a", "large_b")
+        .agg(F.count("*").alias("c"), F.max(F.least("rank_a", "rank_b")).alias("rank")), "small_pairs")
+    # pairs that may share enough only together with large keys (see _different)
+    perhaps = (in_small.filter("large_a > 0 and large_b > 0 and c + least(large_a, large_b) >= " + _needed(percent))
+               .filter("rank >= " + _needed(percent)).select("gid_a", "gid_b"))
+    # the group that shares most, over all its large keys, leads them: of copies
+    # made from one text that text rather than one of the copies
     large = shared.filter(F.col("sharing") > SMALL_KEY)
-    to_leader = (large.filter("gid <> first.gid")
+    weight = large.groupBy("gid").agg(F.sum("sharing").alias("weight"))
+    large = stage_table(large.join(weight, "gid").select("key", "gid", "n", "rep", "rank", "weight"), "large")
+    first_of = F.struct((-F.col("weight")).alias("w"), "rep", "gid", "n")
+    to_leader = (large.withColumn("first", F.min(first_of).over(of_key)).filter("gid <> first.gid")
                  .select(F.least("gid", "first.gid").alias("gid_a"), F.greatest("gid", "first.gid").alias("gid_b"),
                          F.when(F.col("gid") < F.col("first.gid"), F.col("n")).otherwise(F.col("first.n")).alias("n_a"),
                          F.when(F.col("gid") < F.col("first.gid"), F.col("first.n")).otherwise(F.col("n")).alias("n_b"))
                  .filter(_compatible(percent)).groupBy("gid_a", "gid_b", "n_a", "n_b").agg(F.count("*").alias("c")))
-    group_pairs = stage_table(in_small.unionByName(to_leader).groupBy("gid_a", "gid_b", "n_a", "n_b")
-                              .agg(F.sum("c").alias("c")).filter(_possible(percent)).select("gid_a", "gid_b"), "pairs")
+    group_pairs = stage_table(in_small.select("gid_a", "gid_b", "n_a", "n_b", "c").unionByName(to_leader).groupBy("gid_a", "gid_b", "n_a", "n_b")
+                              .agg(F.sum("c").alias("c")).filter(f"c >= {_needed(percent)}").select("gid_a", "gid_b"), "pairs")
 
     # first expansion: every member with the other group's leader and its own
     lead = groups.select("gid", "leader")
@@ -243,30 +266,37 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
         .unionByName(groups.filter("members > 1").join(member, "gid")
                      .select(F.col("leader").alias("a"), F.col("node").alias("b"))))
     first = stage_table(first, "first")
-    links = _verified(with_id, nodes, first, size, percent)
+    sets = _sets(with_id, nodes, first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
+                 .unionByName(large.select("gid").distinct().join(member, "gid").select("node")), size)
+    links, tried = _verified(first, sets, percent), first
+
+    def parts() -> DataFrame:
+        return stage_table(nodes.join(components(links).withColumnRenamed("a", "node"), "node", "left")
+                           .select("node", "gid", "n", F.coalesce("component", "node").alias("part")), "parts")
+
+    # what large keys still hold apart is tied to a second leader, outside the
+    # key's largest part
+    part = parts()
+    second = stage_table(_second_leaders(large.select("key", "gid", "weight").join(part, "gid"), percent)
+                         .join(tried, ["a", "b"], "left_anti"), "second")
+    if not second.isEmpty():
+        links, tried = links.unionByName(_verified(second, sets, percent)), tried.unionByName(second)
+        part = parts()
 
     # the rest: pairs whose ends are still in different components
-    part = stage_table(nodes.join(components(links).withColumnRenamed("a", "node"), "node", "left")
-                       .select("node", "gid", "n", F.coalesce("component", "node").alias("part")), "parts")
     mixed = groups.filter("members > 1").select("gid").join(part, "gid")
-    of_gid = _different(mixed.select(F.col("gid").alias("key"), "node", "n", "part"), percent).select("a", "b")
-    of_pairs = (group_pairs
+    of_gid = _different(mixed.select(F.col("gid").alias("key"), "node", "n", "part", F.col("n").alias("rank")), percent).select("a", "b")
+    of_pairs = (group_pairs.unionByName(perhaps).distinct()
                 .join(part.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("part").alias("part_a")), "gid_a")
                 .join(part.select(F.col("gid").alias("gid_b"), F.col("node").alias("b"), F.col("part").alias("part_b")), "gid_b")
                 .filter("part_a <> part_b").select("a", "b"))
-    ids = part.select("node", "gid")
-    of_large = _different(large.select("key", "gid").join(part, "gid").select("key", "node", "n", "part"), percent)
-    of_large = (of_large.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("c_large"))
-                .join(ids.select(F.col("node").alias("a"), F.col("gid").alias("x")), "a")
-                .join(ids.select(F.col("node").alias("b"), F.col("gid").alias("y")), "b")
-                .withColumns({"gid_a": F.least("x", "y"), "gid_b": F.greatest("x", "y")})
-                .join(in_small.select("gid_a", "gid_b", F.col("c").alias("c_small")), ["gid_a", "gid_b"], "left")
-                .withColumn("c", F.col("c_large") + F.coalesce("c_small", F.lit(0)))
-                .filter(_possible(percent)).select("a", "b"))
-    rest = stage_table(_ordered(of_gid.unionByName(of_pairs).unionByName(of_large)).join(first, ["a", "b"], "left_anti"),
+    of_large = _different(large.select("key", "gid", "rank").join(part, "gid").select("key", "node", "n", "part", "rank"),
+                          percent).select("a", "b")
+    rest = stage_table(_ordered(of_gid.unionByName(of_pairs).unionByName(of_large)).join(tried, ["a", "b"], "left_anti"),
                        "rest")
     if not rest.isEmpty():
-        links = links.unionByName(_verified(with_id, nodes, rest, size, percent))
+        links = links.unionByName(_verified(rest, sets, percent))
+    spark.sql(f"DROP TABLE IF EXISTS {sets}")
 
     # components of nodes, then of documents
     whole = components(links).withColumnRenamed("a", "node")
@@ -278,22 +308,44 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def _different(rows: DataFrame, percent: int) -> DataFrame:
-    """a, b, n_a, n_b (a < b): pairs of nodes under one key that are in
-    different parts and of compatible size.  In each key the part with the most
-    nodes is left alone: any such pair has an end outside it, so only the other
-    nodes look for partners."""
+def _main_parts(rows: DataFrame) -> DataFrame:
+    """key, main: the part with the most rows of every key that has several."""
     count = rows.groupBy("key", "part").agg(F.count("*").alias("k"))
     main = count.groupBy("key").agg(F.max(F.struct("k", "part"))["part"].alias("main"), F.count("*").alias("parts"))
-    rows = rows.join(main.filter("parts > 1"), "key")
-    a = rows.filter("part <> main").select("key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "part")])
-    b = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "part")], (F.col("part") == F.col("main")).alias("in_main"))
+    return main.filter("parts > 1").select("key", "main")
+
+
+def _second_leaders(rows: DataFrame, percent: int) -> DataFrame:
+    """a, b: every node of a key with several parts, and the heaviest node
+    outside the key's main part, if they are in different parts; for each node
+    only the leader that it meets under the most keys."""
+    rows = rows.join(_main_parts(rows), "key")
+    lead = rows.filter("part <> main").groupBy("key").agg(
+        F.min(F.struct((-F.col("weight")).alias("w"), "node", "n", "part")).alias("lead"))
+    met = (rows.join(lead, "key").filter("part <> lead.part")
+           .select("node", F.col("n").alias("n_a"), F.col("lead.node").alias("leader"), F.col("lead.n").alias("n_b"))
+           .filter(_compatible(percent)).groupBy("node", "leader").agg(F.count("*").alias("c")))
+    best = met.groupBy("node").agg(F.min(F.struct((-F.col("c")).alias("c"), "leader"))["leader"].alias("leader"))
+    return _ordered(best.select(F.col("node").alias("a"), F.col("leader").alias("b")))
+
+
+def _different(rows: DataFrame, percent: int) -> DataFrame:
+    """a, b (a < b): pairs of nodes under one key that are in different parts,
+    of compatible size, and may be similar.
+
+    Pairs that need c shared prefix shingles share one that in neither prefix
+    is among the c - 1 that most groups share (``rank``): frequent keys bring
+    only pairs together that have rarer ones in common.  And in each key the
+    part with the most nodes is left alone: any such pair has an end outside
+    it, so only the other nodes look for partners."""
+    rows = rows.join(_main_parts(rows), "key")
+    columns = ("node", "n", "part", "rank")
+    a = rows.filter("part <> main").select("key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = rows.select("key", *[F.col(c).alias(f"{c}_b") for c in columns], (F.col("part") == F.col("main")).alias("in_main"))
     # a pair with both ends outside the main part is met from either end: keep one
-    met = a.join(b, "key").filter("part_a <> part_b and (in_main or node_a < node_b)").filter(_compatible(percent))
-    swap = F.col("node_a") < F.col("node_b")
-    pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
-    return met.select(pick("node_a", "node_b").alias("a"), pick("node_b", "node_a").alias("b"),
-                      pick("n_a", "n_b").alias("n_a"), pick("n_b", "n_a").alias("n_b"))
+    met = a.join(b, "key").filter("part_a <> part_b and (in_main or node_a < node_b)")
+    met = met.filter(_compatible(percent)).filter(f"least(rank_a, rank_b) >= {_needed(percent)}")
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
 
 
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:
