@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text handled at once inside a task; a longer single text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 SLICE_ROWS = 512
 
 
@@ -39,6 +39,8 @@ def slices(batch: pa.RecordBatch, text: str = "text", max_bytes: int = SLICE_BYT
         stop = min(max(stop, start + 1), start + max_rows, batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
+    # workers live on for later tasks: give back what this batch took
+    pa.default_memory_pool().release_unused()
 
 
 def encoded(batch: pa.RecordBatch, text: str = "text") -> list[bytes]:

@@ -44,8 +44,8 @@ class Ids:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         code = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
         self.whole = lambda text: np.array(code.encode(text, allowed_special="all"), dtype="<u4").tobytes()
-        self.first = PieceCache(self.whole, 100_000)
-        self.later = PieceCache(lambda w: self.whole(" " + w))
+        self.first = PieceCache(self.whole, 30_000)
+        self.later = PieceCache(lambda w: self.whole(" " + w), 150_000)
         self.feed = self.whole("\n")
 
     def line(self, text: str) -> bytes:

@@ -32,9 +32,9 @@ from urbanpulse.session import stage_table
 BEFORE = LENGTH - K
 #: Grams that stand in very many texts are known to all tasks instead of being sent.
 HOT_MOST, HOT_LOCAL = 200_000, 4
-RUN_GRAMS, RUN_TEXTS = 1_000_000, 60_000
-RUN_SUFFIXES = 150_000
-BUCKET_GRAMS, BUCKET_SUFFIXES = 2_000_000, 300_000
+RUN_GRAMS, RUN_TEXTS = 500_000, 60_000
+RUN_SUFFIXES = 80_000
+BUCKET_GRAMS, BUCKET_SUFFIXES = 1_000_000, 150_000
 DENSITY = 2 / (GRAMS + 1)
 #: Bits of a gram hash that are compared within a bucket; equal ones by chance
 #: only cost a comparison of the suffixes.
