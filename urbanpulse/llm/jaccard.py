@@ -17,6 +17,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ PERCENT = 75
 #: Shingles that are put last in the order; more would do no harm but be broadcast.
 HOT_MOST = 200_000
 HOT_LOCAL = 4
-HOT_SHINGLES = 2_000_000
+HOT_SHINGLES = 1_000_000
 #: A key that more groups share is tied to a leader before its pairs are listed.
 SMALL_KEY = 32
 
@@ -147,10 +148,11 @@ def _needed(percent: int) -> str:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, need: DataFrame, size: int) -> str:
-    """Name of a table node, set (sorted hashes): whole sets of the needed
-    nodes, made again from the texts of their first documents.  It is bucketed
-    by node, so that the joins of every round leave it where it is; its caller
-    drops it.  (A node may stand in it twice, if a row is repeated.)"""
+    """Name of a table doc_id, node, set (sorted hashes): whole sets of the
+    needed nodes, made again from the texts of their first documents.  It is
+    bucketed by doc_id, as the join that makes it deals it out, so that the
+    joins of every round leave it where it is; its caller drops it.  (A node may
+    stand in it twice, if a row is repeated.)"""
     need = need.select("node").distinct().join(nodes, "node").select("node", F.col("rep").alias("doc_id"))
 
     def sets(batches):
@@ -160,31 +162,41 @@ def _sets(docs: DataFrame, nodes: DataFrame, need: DataFrame, size: int) -> str:
                 for i, data in enumerate(encoded(part)):
                     s = shingle_set(data, size)
                     out.append(s.tobytes() if len(s) and int(_digest(s, 1).view(np.int64)) == node[i] else None)
-                yield pa.RecordBatch.from_pydict({"node": part.column("node"), "set": pa.array(out, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "node": part.column("node"),
+                                                  "set": pa.array(out, pa.binary())})
 
     name, buckets = f"sets_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (docs.join(need, "doc_id").select("node", "text").mapInArrow(sets, "node long, set binary").filter("set is not null")
-     .repartition(buckets, "node").write.bucketBy(buckets, "node").sortBy("node").saveAsTable(name))
+    (docs.join(need, "doc_id").select("doc_id", "node", "text").mapInArrow(sets, "doc_id long, node long, set binary")
+     .filter("set is not null").write.bucketBy(buckets, "doc_id").sortBy("doc_id").saveAsTable(name))
     return name
 
 
-def _verified(pairs: DataFrame, sets: str, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, sets: str, percent: int) -> DataFrame:
     """Stored links a, b: the ``pairs`` of nodes whose whole sets are similar
-    enough."""
+    enough.  The joins are by doc_id, the sets' bucket; two nodes may share one
+    (an id with two texts), so the node is compared with the set's below."""
     sets = pairs.sparkSession.table(sets)
 
     def check(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    with_sets = (pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-                 .join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b"))
-    return stage_table(with_sets.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long"), "verified")
+            for part in slices(batch, "set_a"):
+                keep = []
+                own = pc.and_(pc.equal(part.column("a"), part.column("node_a")),
+                              pc.equal(part.column("b"), part.column("node_b"))).to_pylist()
+                for x, y, same in zip(part.column("set_a"), part.column("set_b"), own):
+                    x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                    both = len(np.intersect1d(x, y, assume_unique=True)) if same else 0
+                    keep.append(same and 100 * both >= percent * (len(x) + len(y) - both))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def side(x: str) -> DataFrame:
+        return sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "node", "set")])
+
+    for x in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(x), F.col("rep").alias(f"doc_id_{x}")), x)
+    with_sets = pairs.join(side("a"), "doc_id_a").join(side("b"), "doc_id_b")
+    return stage_table(with_sets.select("a", "b", "node_a", "node_b", "set_a", "set_b")
+                       .mapInArrow(check, "a long, b long"), "verified")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -268,7 +280,7 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
     first = stage_table(first, "first")
     sets = _sets(with_id, nodes, first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
                  .unionByName(large.select("gid").distinct().join(member, "gid").select("node")), size)
-    links, tried = _verified(first, sets, percent), first
+    links, tried = _verified(first, nodes, sets, percent), first
 
     def parts() -> DataFrame:
         return stage_table(nodes.join(components(links).withColumnRenamed("a", "node"), "node", "left")
@@ -280,7 +292,7 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
     second = stage_table(_second_leaders(large.select("key", "gid", "weight").join(part, "gid"), percent)
                          .join(tried, ["a", "b"], "left_anti"), "second")
     if not second.isEmpty():
-        links, tried = links.unionByName(_verified(second, sets, percent)), tried.unionByName(second)
+        links, tried = links.unionByName(_verified(second, nodes, sets, percent)), tried.unionByName(second)
         part = parts()
 
     # the rest: pairs whose ends are still in different components
@@ -295,7 +307,7 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
     rest = stage_table(_ordered(of_gid.unionByName(of_pairs).unionByName(of_large)).join(tried, ["a", "b"], "left_anti"),
                        "rest")
     if not rest.isEmpty():
-        links = links.unionByName(_verified(rest, sets, percent))
+        links = links.unionByName(_verified(rest, nodes, sets, percent))
     spark.sql(f"DROP TABLE IF EXISTS {sets}")
 
     # components of nodes, then of documents
