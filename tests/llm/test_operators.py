@@ -110,6 +110,41 @@ def test_jaccard_defined_cases(spark, clashing, empty):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def plain_links(rows, percent=75):
+    """Links of each row with other rows, and the pairs of different sets."""
+    sets = []
+    for d, t in rows:
+        w = brute.re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(brute.LOWER))
+        sets.append(frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w and d is not None else frozenset())
+    near = lambda x, y: bool(x and y) and 100 * len(x & y) >= percent * len(x | y)
+    count = Counter((rows[i][0], sum(near(x, y) for j, y in enumerate(sets) if i != j)) for i, x in enumerate(sets))
+    distinct = sorted(set(sets) - {frozenset()}, key=sorted)
+    return count, sum(near(x, y) for i, x in enumerate(distinct) for y in distinct[:i])
+
+
+def test_jaccard_join_counts_every_link(spark, clashing, empty, monkeypatch):
+    rng = random.Random(15)
+    base = [f"b{i}" for i in range(90)]
+    rows = []
+    for i in range(90):  # near copies of one text: one component, many of its pairs under keys of over 32 groups
+        w = list(base)
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(90)] = f"e{rng.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, rows[5][1]) for i in range(7)] + [rows[9], rows[9], (300, "alone " * 9), (301, None), (None, rows[5][1])]
+    want, pairs = plain_links(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for most in (jaccard.LINK_SHINGLES, 900):  # one group, then chunks of a component
+        monkeypatch.setattr(jaccard, "LINK_SHINGLES", most)
+        got = jaccard.jaccard_join(docs)
+        assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+        assert table_of(got, "doc_id", "n_links") == want
+        members, links = jaccard.jaccard_links(docs)
+        assert links.distinct().count() == links.count() == pairs and members.count() == len(rows)
+        assert table_of(jaccard.jaccard_join(clashing), "doc_id", "n_links") == plain_links(PLAIN)[0]
+    assert jaccard.jaccard_join(empty).count() == 0
+
+
 def test_word_hashes_of_long_texts_do_not_depend_on_chunks(monkeypatch):
     text = (" ".join(f"word{i}" for i in range(5000)) + " " + "x" * 3000).encode()
     whole = shingles.word_hashes(text)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from urbanpulse.llm.decontaminate import OP5_SQL, op5_decontamination
-from urbanpulse.llm.jaccard import op2_jaccard_join
+from urbanpulse.llm.jaccard import op2_jaccard_join, op2_jaccard_links
 from urbanpulse.llm.langid import op8_language_id
 from urbanpulse.llm.licenses import op10_license_scans
 from urbanpulse.llm.packing import op4_best_fit_packing
@@ -16,6 +16,7 @@ from urbanpulse.llm.vafile import OP3_SQL, op3_exact_top_k
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
+    "op2_jaccard_links": op2_jaccard_links,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_decontamination": op5_decontamination,

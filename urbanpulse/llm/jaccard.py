@@ -8,7 +8,10 @@ prefix are one group; prefixes are joined group by group, pairs of groups are
 filtered by size and by the greatest overlap that their shared prefix shingles
 leave possible, and the rest is expanded into members and verified on the whole
 sets.  Key groups of many documents are first tied to one leader each; what is
-in one component then needs no further comparison.
+in one component then needs no further comparison to know the components.
+
+The links themselves are counted after that: both ends of a link are in one
+component, so all pairs of distinct sets inside each component are compared.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ HOT_LOCAL = 4
 HOT_SHINGLES = 1_000_000
 #: A key that more groups share is tied to a leader before its pairs are listed.
 SMALL_KEY = 32
+#: Shingles that one task compares with each other (or with as many others).
+LINK_SHINGLES = 400_000
 
 
 def _least(n: int, percent: int) -> int:
@@ -203,6 +208,83 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
+def _similar(sets: list[np.ndarray], others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of ``sets`` (rows) are similar enough to which of ``others``: the
+    shingles of both sides are multiplied as 0/1 matrices, some columns at a time."""
+    n, m = (np.array([len(x) for x in side], dtype=np.int64) for side in (sets, others))
+    found, at, times = np.unique(np.concatenate([*sets, *others]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(n) + len(m)), np.concatenate([n, m]))
+    at, row = at[times[at] > 1], row[times[at] > 1]  # a shingle in one set only is common to none
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    at = np.cumsum(np.diff(at, prepend=at[:1]) > 0)
+    both, wide = np.zeros((len(n), len(m)), dtype=np.int64), 4096
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, wide):
+        a, b = np.searchsorted(at, (start, start + wide))
+        hold = np.zeros((len(n) + len(m), wide), dtype=np.float32)
+        hold[row[a:b], at[a:b] - start] = 1
+        both += (hold[:len(n)] @ hold[len(n):].T).astype(np.int64)
+    return 100 * both >= percent * (n[:, None] + m[None, :] - both)
+
+
+def _linked_nodes(owned: DataFrame, sets: DataFrame, percent: int, pairs: bool = False) -> DataFrame:
+    """node, n_links: rows of other nodes that each node of ``owned`` (node, n,
+    copies, component) links with; with ``pairs``, the links a < b themselves.
+
+    Every pair of nodes inside a component is compared.  A component of many
+    shingles is dealt into chunks by a hash of the node, and each two chunks are
+    one group; small components share groups.  ``sets`` holds every node that
+    has a link."""
+    whole = owned.groupBy("component").agg(F.count("*").alias("k"), F.sum("n").alias("total")).filter("k > 1")
+    chunks = F.ceil(F.col("total") / LINK_SHINGLES).cast("int")
+    whole = whole.withColumn("chunks", F.least(chunks, F.col("k").cast("int")))
+    small = whole.filter("chunks = 1").agg(F.sum("total")).first()[0] or 0
+    buckets = max(1, -(-small // LINK_SHINGLES))
+    own = F.when(F.col("chunks") > 1, F.pmod(F.xxhash64("node"), F.col("chunks"))).otherwise(0).cast("int")
+    dealt = (sets.join(owned.select("node", "copies", "component"), "node").join(whole.drop("k", "total"), "component")
+             .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+             .select("node", "copies", "component", "own", "set", F.least("own", "other").alias("low"),
+                     F.greatest("own", "other").alias("high"),
+                     F.when(F.col("chunks") > 1, F.col("component"))
+                     .otherwise(F.pmod(F.xxhash64("component"), F.lit(buckets))).alias("bucket"),
+                     (F.col("chunks") > 1).alias("split")))
+
+    def count(group: pa.Table) -> pa.Table:
+        by: dict[int, dict] = {}
+        for node, copies, component, own, data, low in zip(*(group.column(c).to_pylist() for c in (
+                "node", "copies", "component", "own", "set", "low"))):
+            # a node may come twice (see _sets)
+            by.setdefault(component, {})[node] = copies, own == low, np.frombuffer(data, np.uint64)
+        across = group.column("low")[0].as_py() != group.column("high")[0].as_py()
+        a, b, n = [], [], []
+        for members in by.values():
+            left = [x for x, (_, first, _) in members.items() if first]
+            right = [x for x, (_, first, _) in members.items() if not first] if across else left
+            if not left or not right:
+                continue
+            near = _similar([members[x][2] for x in left], [members[x][2] for x in right], percent)
+            if not across:
+                np.fill_diagonal(near, False)
+            left, right = np.array(left, np.int64), np.array(right, np.int64)
+            if pairs:
+                i, j = np.nonzero(near if across else np.triu(near))
+                a.append(np.minimum(left[i], right[j]))
+                b.append(np.maximum(left[i], right[j]))
+                continue
+            weight = [np.array([members[x][0] for x in side.tolist()], np.int64) for side in (left, right)]
+            a.append(left)
+            n.append(near @ weight[1])
+            if across:
+                a.append(right)
+                n.append(near.T @ weight[0])
+        last = ("b", b) if pairs else ("n", n)
+        return pa.table({name: np.concatenate([np.zeros(0, np.int64), *x])
+                         for name, x in ((("a" if pairs else "node"), a), last)})
+
+    found = dealt.groupBy("split", "bucket", "low", "high").applyInArrow(count, "a long, b long" if pairs else "node long, n long")
+    return found if pairs else found.groupBy("node").agg(F.sum("n").alias("n_links"))
+
+
 def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
@@ -214,13 +296,32 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
     with a null doc_id link with nothing and have a null component.  Sets are
     compared by 64-bit shingle hashes.  Other columns are not read.
     """
+    return _joined(docs, size, percent)[0]
+
+
+def jaccard_join(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``jaccard_components`` and n_links for every row of ``docs``: the other
+    rows that it links with itself, not by way of others.  Equal texts and
+    repeated rows count one by one; rows that link with nothing have 0."""
+    return _joined(docs, size, percent, "count")[0]
+
+
+def jaccard_links(docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Rows doc_id, n_shingles, component_id, node (digest of the set of
+    shingles), and all links a < b between different nodes.  Rows of one node
+    link with each other besides."""
+    return _joined(docs, size, percent, "pairs")
+
+
+def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[DataFrame, DataFrame | None]:
+    """The result rows, and with ``want`` "pairs" the links of nodes."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     with_id = docs.filter(F.col("doc_id").isNotNull())
     hot = spark.sparkContext.broadcast(hot_shingles(with_id, size))
     digests = _digests(docs, hot, size, percent)
     known = digests.filter("n > 0 and doc_id is not null")
-    nodes = stage_table(known.groupBy("node", "gid", "n").agg(F.min("doc_id").alias("rep")), "nodes")
+    nodes = stage_table(known.groupBy("node", "gid", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "nodes")
     groups = nodes.groupBy("gid", "n").agg(F.min("rep").alias("rep"), F.min_by("node", "rep").alias("leader"),
                                            F.count("*").alias("members"))
 
@@ -308,16 +409,23 @@ def jaccard_components(docs: DataFrame, *, size: int = SHINGLE, percent: int = P
                        "rest")
     if not rest.isEmpty():
         links = links.unionByName(_verified(rest, nodes, sets, percent))
-    spark.sql(f"DROP TABLE IF EXISTS {sets}")
-
     # components of nodes, then of documents
     whole = components(links).withColumnRenamed("a", "node")
-    owned = nodes.join(whole, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
+    owned = nodes.join(whole, "node", "left").select("node", "n", "rep", "copies", F.coalesce("component", "node").alias("component"))
+    between = None
+    if want:
+        owned = stage_table(owned, "owned")
+        between = stage_table(_linked_nodes(owned, spark.table(sets).select("node", "set"), percent, want == "pairs"), "between")
+    spark.sql(f"DROP TABLE IF EXISTS {sets}")
     smallest = owned.groupBy("component").agg(F.min("rep").alias("component_id"))
-    label = owned.join(smallest, "component").select("node", "component_id")
+    label = owned.join(smallest, "component").select("node", "component_id", "copies")
+    if want == "count":
+        label = label.join(between, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1)
     linked = F.col("doc_id").isNotNull()
+    more = {"": [], "count": [F.coalesce("n_links", F.lit(0)).alias("n_links")], "pairs": ["node"]}[want]
     return (digests.withColumn("node", F.when(linked, F.col("node"))).join(label, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), *more),
+            between)
 
 
 def _main_parts(rows: DataFrame) -> DataFrame:
@@ -362,3 +470,7 @@ def _different(rows: DataFrame, percent: int) -> DataFrame:
 
 def op2_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def op2_jaccard_links(spark, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
