@@ -343,6 +343,22 @@ def test_language_id_held_out(spark):
     assert np.mean([r["rejected"] for r in got]) < 0.02
 
 
+def test_language_id_learns_a_rare_language(spark):
+    rng = random.Random(18)
+    parts = {"aa": ["the", "ing", "tion", "wh"], "bb": ["sch", "ung", "ein", "ach"], "rr": ["kuu", "ylo", "vaa", "ppi"]}
+    text = lambda lang: " ".join("".join(rng.choice(parts[lang]) for _ in range(2)) for _ in range(12))
+    # 4 of 20,000 rows, 0.02 %
+    rows = [(i, text("rr" if i % 5000 == 7 else "aa" if i % 2 else "bb"), "rr" if i % 5000 == 7 else "aa" if i % 2 else "bb")
+            for i in range(20_000)]
+    rows += [(None, "12", "letterless")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit_languages(docs)
+    assert sorted(set(model.languages)) == ["aa", "bb", "rr"]
+    unseen = [text("rr") for _ in range(20)] + [text("aa") for _ in range(20)]
+    got = langid.judge(unseen, model)
+    assert [g[0] for g in got] == ["rr"] * 20 + ["aa"] * 20 and not any(g[2] for g in got)
+
+
 def test_language_id_defined_cases(spark, clashing, empty):
     model = langid.fit_languages(language_table(spark))
     got = langid.identify(clashing, model).collect()
