@@ -28,13 +28,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document with the smallest
-    doc_id; of equal rows one.  Rows with a null doc_id stay."""
-    found = jaccard_components(docs)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    # two rows of one doc_id differ at least in their text, or one of them goes
-    digest = F.xxhash64("text")
-    named = (docs.join(kept, "doc_id", "left_semi").withColumn("__text", digest)
-             .dropDuplicates(["doc_id", "__text"]).drop("__text"))
+    doc_id; of equal rows one.  Rows with a null doc_id stay.  Rows that share a
+    doc_id are judged by their own text, and of those in one component one stays."""
+    # rows of one id and one text share their fate: a hash of both stands for them
+    keyed = docs.filter(F.col("doc_id").isNotNull()).withColumn("__row", F.xxhash64("doc_id", "text"))
+    found = jaccard_components(keyed.select(F.col("__row").alias("doc_id"), "text")).distinct()
+    first = F.min(F.struct("doc_id", "__row"))["__row"].alias("__row")
+    kept = (keyed.select("__row", "doc_id").distinct()
+            .join(found.select(F.col("doc_id").alias("__row"), "component_id"), "__row").groupBy("component_id").agg(first))
+    named = keyed.join(kept, "__row", "left_semi").dropDuplicates(["__row"])
     return named.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
@@ -47,9 +49,13 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated by the benchmark."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.filter("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents that aren't contaminated by the benchmark.  Each row is judged
+    by its own text, whatever other rows have its doc_id or if it has none."""
+    # the judgement depends on the text alone: its digest stands for the row
+    keyed = docs.withColumn("__text", F.sha2("text", 256))
+    found = decontaminate(keyed.select(F.col("__text").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    bad = found.filter("contaminated").select(F.col("doc_id").alias("__text")).distinct()
+    return keyed.join(bad, "__text", "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

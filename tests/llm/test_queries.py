@@ -69,3 +69,22 @@ def test_pipeline_on_hostile_documents(spark, hostile, empty):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.stage_table(stage(spark, docs, SF), name)
         assert docs.count() >= 0
+
+
+def test_stages_judge_rows_of_null_and_repeated_ids(spark, hostile):
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("text").collect()]
+    bad = next(t for t in items if t and len(t.split()) >= 20)
+    rows = [(None, bad), (1, bad), (1, "clean text under a used id"), (2, None), (2, bad), (None, None), (3, "clean")]
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in rows], hostile.schema)
+    kept = corpus_pipeline.decontamination(spark, docs, SF).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter(x for x in rows if x[1] != bad)
+
+    near = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(4, near), (5, near + " end"), (5, other), (6, other + " end"), (7, near + " a"), (7, near + " b"), (8, ""), (8, ""),
+            (8, None), (None, near), (None, near), (9, "x y z"), (9, "x y z"), (9, "p q r")]
+    docs = spark.createDataFrame([(d, t, None, None, None) for d, t in rows], hostile.schema)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF)
+    assert kept.columns == DOCUMENT_COLUMNS
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+        [(4, near), (5, other), (8, ""), (8, None), (None, near), (None, near), (9, "x y z"), (9, "p q r")])
