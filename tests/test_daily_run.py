@@ -7,6 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from conftest import rows
 from urbanpulse.plans.daily_run import run_all
 from urbanpulse.schemas import (POPULATION_RENAME, REAL_ESTATE_API_COLUMNS, REAL_ESTATE_COLUMNS,
                                 REAL_ESTATE_RENAME, RENT_COLUMNS, RENT_RENAME, SALES_RENAME)
@@ -78,7 +79,8 @@ def test_run_all(spark, tmp_path):
     assert spark.table("processed_rent").count() == 3
     raw_tbl = spark.table("real_estate_raw")                      # S9 over the API layout folder
     assert raw_tbl.columns == REAL_ESTATE_API_COLUMNS and raw_tbl.count() == 1
-    assert spark.read.parquet(outs["processed/population_bands"]).count() == 12
+    ages = {(r[0], r[1]): (r[2], r[3]) for r in rows(spark.read.parquet(outs["processed/population_ages"]), "ADSTRD_CODE_SE", "STDR_DE_ID", "young", "old")}
+    assert ages == {("A1", "20240131"): (20.0, 15.0), ("A1", "20240430"): (30.0, 12.0), ("A2", "20240131"): (5.0, 20.0), ("A2", "20240430"): (6.0, 18.0)}
     counts = {(r[0], r[1]): r[2] for r in spark.read.option("header", True).option("inferSchema", True)
               .csv(outs["load_counts"]).collect()}
     assert counts[("real_estate", 2024)] == 6 and counts[("sales", 2024)] == 3

@@ -25,10 +25,6 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     return b.join(s, on + ["_salt"], how).drop("_salt")
 
 
-# A code is "hot" when it holds more than this share of the rows.
-HOT_SHARE = 1e-4
-
-
 def crosswalk(df: DataFrame, region_map: DataFrame, source: str, code_col: str | list[str],
               out: str = "region_code") -> DataFrame:
     """Attach ``region_code`` for (source, code) by a left join; rows whose code
@@ -48,15 +44,6 @@ def crosswalk(df: DataFrame, region_map: DataFrame, source: str, code_col: str |
 HOT_SHARE = 1e-4
 
 
-def hot_values(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Values of ``key`` holding more than ``share`` of the non-null rows:
-    fewer than 1/share of them (pigeonhole), so the result is broadcastable.
-    One column-pruned, partially aggregated pass over ``df``."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    return counts.where(F.col("_n") > total * F.lit(share)).select(key)
-
-
 def unmatched_codes(df: DataFrame, region_map: DataFrame, source: str, code_col: str) -> DataFrame:
     """Codes of ``df`` without a crosswalk entry, with their row counts."""
     m = region_map.where(F.col("source") == F.lit(source)).select(F.col("code").alias("_code"))

@@ -3,9 +3,11 @@ SQL for every query SQL can express.  Names follow SURVEY §7.3."""
 
 from __future__ import annotations
 
+from . import arrivals as AR
 from . import city as CT
 from . import expressions as X
 from . import landing as L
+from . import oracle_arrivals as OA
 from . import oracle_landing as OL
 from . import oracle_expressions as OX
 from . import oracle_structured as OS
@@ -66,6 +68,12 @@ QUERIES = {
     "period_change": T.period_change_query,
     "city_indicators": CT.city_indicators,
     "month_ends": CT.month_ends,
+    "page_reconciliation": AR.page_reconciliation,
+    "csv_hostile_records": AR.csv_hostile_records,
+    "csv_reject_table": AR.csv_reject_table,
+    "csv_header_drift": AR.csv_header_drift,
+    "youth_inflow_bands": AR.youth_inflow_bands,
+    "daily_run_index": AR.daily_run_index,
 }
 
 ORACLE_SQL = {
@@ -121,4 +129,10 @@ ORACLE_SQL = {
     "period_change": OT.PERIOD_CHANGE,
     "city_indicators": CT.CITY_INDICATORS_SQL,
     "month_ends": CT.MONTH_ENDS_SQL,
+    "page_reconciliation": OA.PAGE_RECONCILIATION,
+    "csv_hostile_records": OA.CSV_HOSTILE_RECORDS,
+    "csv_reject_table": OA.CSV_REJECT_TABLE,
+    "csv_header_drift": OA.CSV_HEADER_DRIFT,
+    "youth_inflow_bands": OA.YOUTH_INFLOW_BANDS,
+    "daily_run_index": OA.DAILY_RUN_INDEX,
 }

@@ -8,8 +8,6 @@ it back through the source under test.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +15,7 @@ from ..functions.numeric import parse_lenient
 from ..functions.strings import BOM
 from ..operators.sets import union_all
 from ..schemas import LAYOUTS, POPULATION_RENAME
-from ..session import scratch_path
+from ..session import scratch_path, scratch_table
 from ..sources import csv as CSV
 from ..sources import json_pages as JP
 from ..sources import parquet as PQ
@@ -119,17 +117,16 @@ CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktseg
 
 
 def external_text_table(spark, d):
-    tag = uuid.uuid4().hex[:10]
     raw_path = scratch_path(spark, "customer_raw")
     SK.write_csv(load(spark, d, "customer").select(*[F.col(c).cast("string") for c in CUSTOMER_COLUMNS]),
                  raw_path, header=False)
-    raw = create_external_table(spark, f"customer_raw_{tag}", raw_path, "csv", CUSTOMER_COLUMNS)
+    raw = create_external_table(spark, scratch_table(spark, "customer_raw"), raw_path, "csv", CUSTOMER_COLUMNS)
     typed = raw.select(F.col("c_custkey").try_cast("bigint").alias("c_custkey"), "c_name",
                        F.col("c_nationkey").try_cast("int").alias("c_nationkey"),
                        parse_lenient("c_acctbal").alias("c_acctbal"), "c_mktsegment")
     out = scratch_path(spark, "customer_processed")
     SK.write_parquet(typed, out)
-    return create_external_table(spark, f"customer_processed_{tag}", out, "parquet")
+    return create_external_table(spark, scratch_table(spark, "customer_processed"), out, "parquet")
 
 
 # ---- S10 -------------------------------------------------------------------

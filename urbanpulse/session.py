@@ -95,14 +95,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Names of the tables over scratch data, by application.
+_SCRATCH_TABLES: dict[str, set[str]] = {}
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh table name that ``clear_scratch`` of this application drops."""
+    own = f"{name}_{uuid.uuid4().hex[:10]}"
+    _SCRATCH_TABLES.setdefault(spark.sparkContext.applicationId, set()).add(own)
+    return own
+
+
 def clear_scratch(spark: SparkSession) -> None:
-    """Remove everything this application has staged, and the tables over it.
-    Frames that read staged data can't be used afterwards."""
-    root = scratch_root(spark)
-    for t in spark.catalog.listTables():
-        if t.tableType == "EXTERNAL" and t.name.startswith("customer_"):
-            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
-    fs, p = hadoop_fs(spark, root)
+    """Remove everything this application has staged, and the tables that it
+    named by ``scratch_table``; no other table.  Frames that read staged data
+    can't be used afterwards."""
+    for name in _SCRATCH_TABLES.pop(spark.sparkContext.applicationId, ()):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    fs, p = hadoop_fs(spark, scratch_root(spark))
     fs.delete(p, True)
 
 
