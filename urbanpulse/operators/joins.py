@@ -7,7 +7,7 @@ No join here is chosen by a count: Spark broadcasts a side by its runtime size
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
@@ -68,3 +68,31 @@ def split_hot_join(big: DataFrame, small: DataFrame, key: str, hot_keys: DataFra
     hot = big.join(hk, key, "left_semi").join(F.broadcast(small.join(hk, key, "left_semi")), key, how)
     cold = big.join(hk, key, "left_anti").join(small, key, how)
     return hot.unionByName(cold)
+
+
+def apportion(df: DataFrame, shares: DataFrame, code: str, keys: list[str], amount: str,
+              out: str = "region_code") -> DataFrame:
+    """Amounts of one grain of areas dealt out to another: per ``keys`` and
+    region the sum of ``amount`` (whole units, e.g. won), split by ``shares``
+    (code, region_code, weight: whole numbers, such as shared square metres) where
+    an area overlaps several regions.
+
+    A code's amount goes to its regions by weight, in whole units, the largest
+    remainders first (ties by region): the parts of every code, and so the
+    whole table, sum to what came in.  Codes without a positive weight keep
+    their amount under a null region.  Rows are summed per code before the join,
+    so a code that holds most rows costs a row per key."""
+    totals = df.groupBy(*keys, F.col(code).alias("_code")).agg(F.sum(F.col(amount).cast("decimal(18,0)")).cast("decimal(18,0)").alias("_sum"))
+    w = (shares.filter(F.col("weight") > 0).groupBy(F.col("code").alias("_code"), F.col("region_code").alias(out))
+         .agg(F.sum(F.col("weight").cast("decimal(18,0)")).cast("decimal(18,0)").alias("_w")))
+    whole = w.groupBy("_code").agg(F.sum("_w").cast("decimal(18,0)").alias("_whole"))
+    parts = totals.join(w.join(whole, "_code"), "_code", "left")
+    product = F.col("_sum") * F.col("_w")
+    rest = F.pmod(product, F.col("_whole").cast("decimal(38,0)"))
+    parts = parts.withColumn("_rest", rest).withColumn("_part", F.expr("(_sum * _w - _rest) div _whole"))
+    own = Window.partitionBy(*keys, "_code")  # one row per region that the area touches
+    left = F.col("_sum") - F.sum("_part").over(own)
+    more = F.row_number().over(own.orderBy(F.desc("_rest"), out)) <= left
+    share = F.when(F.col("_w").isNull(), F.col("_sum")).otherwise(F.col("_part") + more.cast("int"))
+    return (parts.withColumn("_share", share.cast("decimal(38,0)")).groupBy(*keys, out)
+            .agg(F.sum("_share").cast("long").alias(amount)))

@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from . import arrivals as AR
 from . import city as CT
+from . import enrichment as EN
 from . import expressions as X
 from . import landing as L
 from . import oracle_arrivals as OA
+from . import oracle_enrichment as OE
 from . import oracle_landing as OL
 from . import oracle_expressions as OX
 from . import oracle_structured as OS
@@ -74,6 +76,12 @@ QUERIES = {
     "csv_header_drift": AR.csv_header_drift,
     "youth_inflow_bands": AR.youth_inflow_bands,
     "daily_run_index": AR.daily_run_index,
+    "region_apportion": EN.region_apportion,
+    "calendar_spine": EN.calendar_spine_query,
+    "lexicon_induced": EN.lexicon_induced,
+    "sentiment_induced": EN.sentiment_induced,
+    "phrases_region_month": EN.phrases_region_month,
+    "embedding_drift": EN.embedding_drift,
 }
 
 ORACLE_SQL = {
@@ -135,4 +143,10 @@ ORACLE_SQL = {
     "csv_header_drift": OA.CSV_HEADER_DRIFT,
     "youth_inflow_bands": OA.YOUTH_INFLOW_BANDS,
     "daily_run_index": OA.DAILY_RUN_INDEX,
+    "region_apportion": OE.REGION_APPORTION,
+    "calendar_spine": OE.CALENDAR_SPINE,
+    "lexicon_induced": OE.LEXICON_INDUCED,
+    "sentiment_induced": OE.SENTIMENT_INDUCED,
+    "phrases_region_month": OE.PHRASES_REGION_MONTH,
+    "embedding_drift": OE.EMBEDDING_DRIFT,
 }
