@@ -454,3 +454,28 @@ def test_license_seeds_find_every_match():
 
 def test_license_scan_of_nothing(empty):
     assert licenses.license_digest(licenses.scan_licenses(empty)).count() == 0
+
+
+def test_pieces_of_one_size_per_file_still_meet(spark, tmp_path):
+    """1,000 pieces of 700 and 1,000 of 300 tokens in separate files fill 1,000 sequences."""
+    for size in (700, 300):
+        spark.range(1000).select(F.col("id").alias("doc_id"), F.lit(size).cast("long").alias("length")).coalesce(1).write.parquet(
+            f"{tmp_path}/size={size}")
+    for items in (100_000, 400):
+        out = packing.pack(spark.read.parquet(f"{tmp_path}/size=700", f"{tmp_path}/size=300"), merge_items=items)
+        assert out.select("sequence_id").distinct().count() <= 1000 + 20 * (items == 400)
+
+
+def test_piece_ids_equal_the_tokenizers_library(spark):
+    import os
+
+    import public_tokenizers as public
+    from tokenizers import Tokenizer
+
+    sf = os.environ.get("UP_TEST_SF", "/root/testdata/sf0.001")
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    library, ids = Tokenizer.from_file(str(public.path("byte_bpe_50k.json"))), packing._ids(None)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()] + [t or "" for _, t in PLAIN]
+    for text in texts:
+        assert np.frombuffer(ids.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids

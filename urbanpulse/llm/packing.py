@@ -1,15 +1,15 @@
 """Best-fit packing of token pieces, by hierarchical residual packing.
 
-Every scan partition packs its own pieces best fit, largest first, and gives
-out the bins that are nearly full.  The underfull bins become the items of the
-next round: they meet in fewer groups, which pack them best fit again, until
-one group is left or a round joins hardly any bins.
+The pieces are dealt out evenly, wherever they are stored.  Every partition packs
+its own pieces best fit, largest first, and gives out the bins that are nearly
+full.  The underfull bins become the items of the next round: they meet in
+fewer groups, which pack them best fit again, until one group is left or a round
+joins hardly any bins.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from functools import lru_cache
 
@@ -19,45 +19,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbanpulse.llm.common import PieceCache, slices, table
+from urbanpulse.llm.common import slices, table
 from urbanpulse.session import stage_table
 
 LENGTH = 1024
 END = 2
 SPECIAL = "<|endoftext|>"
-_IRREGULAR = re.compile(r"\s\s|[^\S \n]|<\|endoftext\|>|^\s|\s$")
 
 
 class Ids:
-    """Token ids of whole texts as packed little-endian unsigned 32-bit numbers.
-
-    The vocabulary's pattern always starts a new pre-token at a line feed and
-    at the blank before a word, so a text whose words are parted by single
-    blanks or line feeds is the concatenation of its words' ids, which are
-    remembered.  Any other text is encoded in one go.
-    """
+    """Token ids of whole texts as packed little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str, pattern: str):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        code = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
-        self.whole = lambda text: np.array(code.encode(text, allowed_special="all"), dtype="<u4").tobytes()
-        self.first = PieceCache(self.whole, 30_000)
-        self.later = PieceCache(lambda w: self.whole(" " + w), 150_000)
-        self.feed = self.whole("\n")
-
-    def line(self, text: str) -> bytes:
-        head, *rest = text.split(" ")
-        return self.first[head] + b"".join(map(self.later.__getitem__, rest))
+        self.code = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _IRREGULAR.search(text):
-            return self.whole(text)
-        return self.feed.join(map(self.line, text.split("\n")))
+        return self.code.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes() if text else b""
 
 
 @lru_cache(maxsize=1)
@@ -161,24 +142,26 @@ def pack(pieces: DataFrame, *, length: int = LENGTH, nearly_full: float = 0.985,
     """``pieces`` with ``sequence_id`` and ``offset``; their ``length`` is 1 to
     ``length``.
 
-    Bins filled to ``nearly_full`` are given out after the first round.  Later
-    rounds deal the rest to groups of about ``merge_items`` bins (by a hash),
-    at most a quarter as many groups as before; they end after the round with
-    one group, or when a round saves under ``least_gain`` of its bins.  Every
-    piece is placed once; an empty table gives an empty one.
+    The first round deals the stored pieces round robin to groups of about
+    ``merge_items``, so that each group gets its share of every file: pieces
+    of one size that lie together don't end as bins of one size.  Bins filled to
+    ``nearly_full`` are given out after it.  Later rounds deal the rest to groups
+    of about ``merge_items`` bins (by a hash); they end after the round with one
+    group, or when a round saves under ``least_gain`` of its bins.  Every piece is
+    placed once; an empty table gives an empty one.
     """
     names = pieces.columns
-    leaf = stage_table(pieces.mapInArrow(
+    pieces = stage_table(pieces, "pieces")
+    leaf = stage_table(pieces.repartition(max(1, -(-pieces.count() // merge_items))).mapInArrow(
         _pack_partition("length", length, block, 0),
         ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", bin long, offset long"), "packed")
     fill = leaf.groupBy("bin").agg(F.sum("length").alias("fill"))
     open_bins = stage_table(fill.filter(F.col("fill") < nearly_full * length), "underfull")
     moved = None  # bin of the first round -> its bin now, shift there
-    n, groups, level = open_bins.count(), None, 0
+    n, level = open_bins.count(), 0
     while n > 1:
         level += 1
-        wanted = max(1, -(-n // merge_items))
-        groups = wanted if groups is None else min(wanted, max(1, groups // 4))
+        groups = max(1, -(-n // merge_items))
         step = stage_table(
             open_bins.repartition(groups, "bin").withColumnRenamed("bin", "was")
             .mapInArrow(_pack_partition("fill", length, block, level),
