@@ -9,6 +9,7 @@ what training texts of its length reach.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -249,16 +250,18 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``identify`` doesn't reject."""
+    """The rows of ``docs``, all columns, that ``identify`` doesn't reject.  Only
+    the texts go to Python, and a flag comes back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def keep(batches):
-        for batch in batches:
-            for part in slices(batch):
-                yield part.filter(pa.array([not far for _, _, far in judge(part.column("text").to_pylist(), shared.value)],
-                                           pa.bool_()))
+    @F.arrow_udf("boolean")
+    def kept(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            flags = [not far for part in slices(pa.RecordBatch.from_arrays([batch], names=["text"]))
+                     for _, _, far in judge(part.column("text").to_pylist(), shared.value)]
+            yield pa.array(flags, pa.bool_())
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.filter(kept("text"))
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
