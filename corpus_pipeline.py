@@ -20,9 +20,19 @@ from urbanpulse.llm.suffixdedup import remove_repeats
 from urbanpulse.session import stage_table
 
 
+#: Bytes of a batch of rows on its way to a Python worker (Spark's own default is
+#: 64 MB; a batch stands in the JVM, in the worker and once more as its result).
+TEXT_BATCH = 8 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BATCH))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that nearest-centroid language ID doesn't reject.  Null texts
     and texts without a letter go."""
+    _small_batches(spark)
     return drop_rejected(docs, fit_languages(training_rows(docs)))
 
 
@@ -30,6 +40,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each component of near duplicates the document with the smallest
     doc_id; of equal rows one.  Rows with a null doc_id stay.  Rows that share a
     doc_id are judged by their own text, and of those in one component one stays."""
+    _small_batches(spark)
     # rows of one id and one text share their fate: a hash of both stands for them
     keyed = docs.filter(F.col("doc_id").isNotNull()).withColumn("__row", F.xxhash64("doc_id", "text"))
     found = jaccard_components(keyed.select(F.col("__row").alias("doc_id"), "text")).distinct()
@@ -43,6 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the strings of 50 bytes that an earlier document has;
     n_chars is counted anew.  Documents that consisted of such strings go."""
+    _small_batches(spark)
     found = remove_repeats(docs).filter("n_bytes = 0 or n_removed < n_bytes")
     own = {"text": F.col("kept").alias("text"), "n_chars": F.char_length("kept").cast("long").alias("n_chars")}
     return found.select(*[own.get(c, F.col("row").getField(c).alias(c)) for c in docs.columns])
@@ -60,6 +72,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their place in sequences of at most 1024 tokens."""
+    _small_batches(spark)
     return pack_documents(docs)
 
 
