@@ -166,3 +166,36 @@ def test_clear_scratch_drops_its_own_tables_only(spark, tmp_path):
     names = {t.name for t in spark.catalog.listTables()}
     assert "customer_of_user" in names and own not in names
     spark.sql("DROP TABLE customer_of_user")
+
+
+def test_incremental_states_equal_a_full_run(spark, tmp_path):
+    """Only the changed year is read and written, and the indicators are those of a full run."""
+    import time
+
+    from urbanpulse.operators.states import merged, partial_states, refresh_states
+    from urbanpulse.sources.sinks import write_parquet
+    schema = "region_code string, period int, YEAR int, THING_AMT double, ARCH_AREA double"
+    first = [("R1", 20231, 2023, 10.0, 3.0), ("R1", 20231, 2023, 0.1, 7.0), ("R2", 20234, 2023, 5.0, 0.0), ("R1", 20241, 2024, 8.0, 2.0),
+             (None, 20241, 2024, 1.0, 1.0), ("R2", 20242, 2024, None, 1.0)]
+    deals, states = str(tmp_path / "deals"), str(tmp_path / "states")
+    write_parquet(spark.createDataFrame(first, schema), deals, partition_by=["YEAR"])
+    ages = spark.createDataFrame([("R1", 20241, 2024, 30.0, 10.0, 100.0), ("R1", 20241, 2024, 20.0, 20.0, 50.0)],
+                                 "region_code string, period int, YEAR int, young double, old double, TOT_LVPOP_CO double")
+    refresh_states(spark, states, {"real_estate": spark.read.parquet(deals), "population_ages": ages})
+    files = {f: os.path.getmtime(f) for d, _, names in os.walk(states) for f in (f"{d}/{n}" for n in names) if "YEAR=2023" in f}
+    time.sleep(0.05)
+    write_parquet(spark.createDataFrame([("R1", 20241, 2024, 9.0, 3.0), ("R3", 20243, 2024, 4.0, 4.0)], schema), deals, partition_by=["YEAR"])
+    changed = spark.read.parquet(deals)
+    plan = partial_states(changed.filter(F.col("YEAR").isin([2024])), "real_estate")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    refresh_states(spark, states, {"real_estate": changed}, years=[2024])
+    assert files and files == {f: os.path.getmtime(f) for f in files}  # 2023 was left alone
+    full = str(tmp_path / "full")
+    refresh_states(spark, full, {"real_estate": changed, "population_ages": ages})
+    cols = ("region_code", "period", "price", "rent", "sales", "youth_share", "senior_share")
+    got = sorted(rows(merged(spark.read.parquet(states)), *cols), key=str)
+    # a group whose rows are all gone keeps no state: its partition was written anew
+    assert got == sorted(rows(merged(spark.read.parquet(full)), *cols), key=str)
+    by = {r[:2]: r[2:] for r in got}
+    assert by["R1", 20241] == (3.0, None, None, 25.0 / 75.0, 15.0 / 75.0) and by["R2", 20234][0] is None
+    assert ("R2", 20242) not in by and by["R3", 20243][0] == 1.0

@@ -76,6 +76,7 @@ QUERIES = {
     "csv_header_drift": AR.csv_header_drift,
     "youth_inflow_bands": AR.youth_inflow_bands,
     "daily_run_index": AR.daily_run_index,
+    "indicators_incremental": AR.indicators_incremental,
     "region_apportion": EN.region_apportion,
     "calendar_spine": EN.calendar_spine_query,
     "lexicon_induced": EN.lexicon_induced,
@@ -143,6 +144,7 @@ ORACLE_SQL = {
     "csv_header_drift": OA.CSV_HEADER_DRIFT,
     "youth_inflow_bands": OA.YOUTH_INFLOW_BANDS,
     "daily_run_index": OA.DAILY_RUN_INDEX,
+    "indicators_incremental": OA.INDICATORS_INCREMENTAL,
     "region_apportion": OE.REGION_APPORTION,
     "calendar_spine": OE.CALENDAR_SPINE,
     "lexicon_induced": OE.LEXICON_INDUCED,

@@ -1,6 +1,6 @@
 """DuckDB SQL of the queries in ``arrivals``."""
 
-from .arrivals import BANDS, CODES, FILE_ORDERS, LIMIT, PAGE, PERIOD, REGIONS
+from .arrivals import BANDS, CODES, FILE_ORDERS, LIMIT, PAGE, PERIOD, REGIONS, RELOADED
 from .city import CITY_INDICATORS_SQL
 from .oracle_structured import _z
 
@@ -91,3 +91,10 @@ r AS (SELECT *, ({" + ".join(f"coalesce({z}, 0)" for z in _ZCOLS)})
     / nullif({" + ".join(f"CASE WHEN {z} IS NULL THEN 0 ELSE 1 END" for z in _ZCOLS)}, 0) AS raw FROM z)
 SELECT region_code, period, {", ".join(f"round({c}, 4) + 0.0::DOUBLE AS {c}" for c in _IND)},
   round(100.0 * ((raw - min(raw) OVER ()) / nullif(max(raw) OVER () - min(raw) OVER (), 0)), 4) AS sgi FROM r"""
+
+INDICATORS_INCREMENTAL = f"""
+WITH city AS ({CITY_INDICATORS_SQL.replace("round(value, 3) AS value", "value")})
+SELECT region_code, period,
+  round(max(CASE WHEN indicator = 'price' THEN value * CASE WHEN period // 10 = {RELOADED} THEN 2 ELSE 1 END END), 3) AS price,
+  round(max(value) FILTER (indicator = 'rent'), 3) AS rent, round(max(value) FILTER (indicator = 'sales'), 3) AS sales
+FROM city GROUP BY ALL"""
