@@ -61,6 +61,7 @@ QUERIES = {
     "keywords_tfidf": T.keywords_tfidf,
     "keywords_region_month": T.keywords_region_month,
     "topics": T.topics,
+    "topic_shares": T.topic_shares,
     "embedding_centroid_cosine": T.embedding_centroid_cosine,
     "ugi_index": T.ugi_index,
     "gpi_index": T.gpi_index,
@@ -129,6 +130,7 @@ ORACLE_SQL = {
     "keywords_tfidf": OT.KEYWORDS_TFIDF,
     "keywords_region_month": OT.KEYWORDS_REGION_MONTH,
     "topics": OT.TOPIC_SQL,
+    "topic_shares": OT.TOPIC_SHARES_SQL,
     "embedding_centroid_cosine": OT.EMBEDDING_CENTROID_COSINE,
     "ugi_index": OT.UGI_INDEX,
     "gpi_index": OT.GPI_INDEX,

@@ -1,8 +1,8 @@
 """DuckDB oracle SQL for the text layer, UGI/GPI, crosswalk and W1-W3."""
 
 from .oracle_structured import SGI_CTES, WITH_IND
-from ..operators.text import TOPIC_SCALE
-from .textual import LEXICON, MIN_CHARS, TOPIC_PASSES, TOPICS
+from ..operators.text import SHARE_PRIOR, SHARE_SCALE, START_WEIGHT, TOPIC_SCALE, WORD_PRIOR
+from .textual import LEXICON, MIN_CHARS, SHARE_PASSES, TOPIC_PASSES, TOPICS
 
 _TOKS = r"list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: x <> '')"
 _URL = r"""(?i)(?:https?://|www\.)[^\s<>"']+"""
@@ -101,6 +101,39 @@ a0 AS (SELECT DISTINCT doc_id, CAST((doc_id % 2147483648 * 2654435761 % 42949672
        FROM tf)""" + "".join(map(_topic_pass, range(TOPIC_PASSES))) + f"""
 SELECT doc_id, topic FROM documents LEFT JOIN a{TOPIC_PASSES} USING (doc_id)"""
 
+
+def _share_pass(i: int) -> str:
+    """One pass: dealt tokens summed by token and by document, and dealt again."""
+    ks = range(TOPICS)
+    sums = lambda n: ", ".join(f"CAST(sum(q{t}) AS BIGINT) AS {n}{t}" for t in ks)
+    totals = ", ".join(f"CAST(sum(n{t}) + {WORD_PRIOR} * count(*) AS DOUBLE) AS u{t}" for t in ks)
+    each = ", ".join(f"CAST(m{t} + {SHARE_PRIOR} AS DOUBLE) * (CAST(n{t} + {WORD_PRIOR} AS DOUBLE) / u{t}) AS p{t}" for t in ks)
+    whole = " + ".join(f"p{t}" for t in ks)
+    dealt = ", ".join(f"tf * CAST(floor(p{t} / p * {SHARE_SCALE}) AS BIGINT) AS q{t}" for t in ks)
+    return f""",
+n{i} AS MATERIALIZED (SELECT tok, {sums("n")} FROM d{i} GROUP BY tok),
+u{i} AS MATERIALIZED (SELECT {totals} FROM n{i}),
+m{i} AS (SELECT doc_id, {sums("m")} FROM d{i} GROUP BY doc_id),
+d{i + 1} AS MATERIALIZED (SELECT doc_id, tok, {dealt} FROM (SELECT *, {whole} AS p FROM (
+  SELECT doc_id, tok, tf, {each} FROM tf JOIN m{i} USING (doc_id) JOIN n{i} USING (tok) CROSS JOIN u{i})))"""
+
+
+_START = ", ".join(f"tf * CASE WHEN topic = {t} THEN {SHARE_SCALE * START_WEIGHT // (START_WEIGHT + TOPICS - 1)} "
+                   f"ELSE {SHARE_SCALE // (START_WEIGHT + TOPICS - 1)} END AS q{t}" for t in range(TOPICS))
+_PARTS = ", ".join(f"CAST(floor(m{t} / n * 1000000) AS BIGINT)" for t in range(TOPICS))
+_SHARES = ", ".join(f"parts[{t + 1}] + CASE WHEN topic = {t} THEN 1000000 - CAST(list_sum(parts) AS BIGINT) ELSE 0 END AS share{t}"
+                    for t in range(TOPICS))
+
+# the seeds are those of TOPIC_SQL
+TOPIC_SHARES_SQL = TOPIC_SQL[:TOPIC_SQL.rindex("SELECT")].rstrip() + f""",
+d0 AS (SELECT doc_id, tok, {_START} FROM tf JOIN a{TOPIC_PASSES} USING (doc_id))""" + "".join(
+    map(_share_pass, range(SHARE_PASSES))) + f""",
+m AS (SELECT doc_id, {", ".join(f"CAST(sum(q{t}) AS BIGINT) AS m{t}" for t in range(TOPICS))} FROM d{SHARE_PASSES} GROUP BY doc_id),
+p AS (SELECT doc_id, [{_PARTS}] AS parts FROM (
+  SELECT *, CAST({" + ".join(f"m{t}" for t in range(TOPICS))} AS DOUBLE) AS n FROM m)),
+b AS (SELECT *, CAST(list_position(parts, list_max(parts)) - 1 AS INTEGER) AS topic FROM p)
+SELECT doc_id, {_SHARES}, topic FROM documents LEFT JOIN b USING (doc_id)"""
+
 _CENTROID = """
 e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 x AS (SELECT label, unnest(generate_series(1, len(v))) AS pos, unnest(v) AS val FROM e),

@@ -82,6 +82,7 @@ def keywords_region_month(spark, d):
 # ---- T4 --------------------------------------------------------------------
 
 TOPICS, TOPIC_PASSES = 5, 3
+SHARE_PASSES = 3
 
 
 def topics(spark, d):
@@ -89,6 +90,12 @@ def topics(spark, d):
     return TX.topics(docs, "doc_id", "text", k=TOPICS, passes=TOPIC_PASSES)
 
 
+def topic_shares(spark, d):
+    """T4, mixed membership: shares of topics per document."""
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return TX.topic_shares(docs, "doc_id", "text", k=TOPICS, passes=SHARE_PASSES, seed_passes=TOPIC_PASSES)
+
+
 # ---- T5 --------------------------------------------------------------------
 
 def embedding_centroid_cosine(spark, d):
