@@ -69,6 +69,19 @@ def test_lcp_merge_is_a_merge():
         assert lcp[1:].tolist() == [lcpmerge.common(a, b, 0) for a, b in zip(out, out[1:])]
 
 
+def test_texts_whose_hashes_meet_stay_apart(spark, monkeypatch):
+    from urbanpulse.llm import common
+
+    real = common.hash_id
+    monkeypatch.setattr(common, "hash_id", lambda *c, salt=0: F.pmod(real(*c, salt=salt), F.lit(3)) if salt < 2 else real(*c, salt=salt))
+    rows = [(i, f"a text of its own, number {i}, that no other document shares any part of {i * 7919}" * (1 + i % 2)) for i in range(12)]
+    rows += [(20, rows[3][1]), (21, rows[4][1])]
+    got = suffixdedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = Counter(brute.suffix_dedup(rows))
+    assert table_of(got.select("row.*", "n_bytes", "n_removed", "n_spans", "kept_sha256"),
+                    "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
 # 2 Jaccard join
 
 def test_jaccard_matches_brute_force(spark, unique):
@@ -185,6 +198,18 @@ def test_top_k_of_nothing(spark):
     assert vafile.exact_top_k(none, none, 5).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    rng = random.Random(33)
+    rows = [(i, [rng.uniform(-4e6, 4e6) for _ in range(3)]) for i in range(200)]
+    rows += [(200 + i, [4e6, 4e6 - i / 64, 4e6]) for i in range(40)]  # scores that differ in their last digits
+    rows += [(300, [1e20, 0.0, 0.0]), (301, [-1e300, 1.0, 1.0]), (302, [1e8, 0.0, 0.0])]
+    q = vafile.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    plain = [(r["vec_id"], tuple(r["vec"])) for r in q.collect()]
+    assert {v for v, _ in plain} == set(range(240))
+    got = table_of(vafile.exact_top_k(q, q.filter("vec_id % 4 = 0"), 5), "query_id", "rank", "vec_id", "score")
+    assert got == brute_top(plain, set(x for x in plain if x[0] % 4 == 0), 5)
+
+
 # 4 packing
 
 def check_packing(rows, length):
@@ -282,6 +307,18 @@ def test_token_counts_match_the_library(spark, clashing, empty):
     assert tokencount.count_tokens(empty).count() == 0
 
 
+def test_token_counts_of_unassigned_code_points(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(16)
+    odd = "\ua7cb\ua7dc\u0378\u0380\u05ff\U000e0080\U0002fffe\uffff"
+    texts = ["".join(rng.choice(odd + "aB\u0301 1.\u0130\u03a3'") for _ in range(rng.randint(1, 30))) for _ in range(2000)]
+    got = tokencount.count_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["n_tokens"] for r in sorted(got)] == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
 # 7 toxicity
 
 def toxic_table(spark):
@@ -414,6 +451,55 @@ def test_url_reputation_blocks_bad_hosts(spark):
     assert got[1000]["rate"] > 0.8 and got[1001]["verdict"] == "allow"
 
 
+def shrinkage(rows, z=urls.Z):
+    """Rate and bound of every bare host of (host, domain, suffix, bad or None), in plain Python."""
+    def counts(at):
+        out = {}
+        for r in rows:
+            n, k = out.get(r[at], (0, 0))
+            out[r[at]] = (n + (r[3] is not None), k + (r[3] or 0))
+        return out
+
+    def strength(level, prior):
+        own = [(n, k, prior[x]) for x, (n, k) in level.items() if n]
+        spread = sum((k - n * p) ** 2 / n for n, k, p in own)
+        noise, weight = sum(p * (1 - p) for _, _, p in own), sum(n * p * (1 - p) for n, _, p in own)
+        inside = (spread - noise) / max(weight - noise, 1e-9)
+        return min(1000.0, max(1.0, 1 / inside - 1)) if inside > 0 else 1000.0
+
+    n = sum(r[3] is not None for r in rows)
+    overall = (sum(r[3] or 0 for r in rows) + 1) / (n + 2)
+    rate, parent = {"": overall}, {r[2]: "" for r in rows}
+    for at in (2, 1, 0):
+        level, prior = counts(at), {r[at]: rate[r[at + 1]] if at < 2 else overall for r in rows}
+        s = strength(level, prior)
+        weight = {x: n + s for x, (n, _) in level.items()}
+        rate = {x: (k + s * prior[x]) / weight[x] for x, (n, k) in level.items()}
+    return {x: (p, max(0.0, p - z * (p * (1 - p) / (weight[x] + 1)) ** 0.5)) for x, p in rate.items()}, overall
+
+
+def test_url_reputation_matches_plain_shrinkage(spark):
+    rng = random.Random(19)
+    hosts = [(f"{a}.{d}.{s}", f"{d}.{s}", s) for s in ("net", "info", "co.uk") for d in ("one", "two", "bad") for a in ("www", "x", "y")]
+    hosts += [("10.0.0.1", "10.0.0.1", ""), ("10.9.0.1", "10.9.0.1", ""), ("[::1]", "[::1]", "")]
+    rows, pages, outcomes = [], [], []
+    for i in range(3000):
+        h = hosts[0] if i % 3 == 0 else rng.choice(hosts)  # one host holds a third
+        bad = None if rng.random() < 0.4 else int(rng.random() < (0.7 if "bad" in h[1] else 0.9 if h[0] == "10.0.0.1" else 0.05))
+        rows.append((*h, bad))
+        pages.append((i, f"http://{rng.choice(['', 'user:pw@'])}{h[0]}{rng.choice(['', ':8080', '.'])}/{i}"))
+        outcomes += [(i, bad)] * 2
+    want, overall = shrinkage(rows)
+    got = urls.filter_urls(spark.createDataFrame(pages, "page_id long, url string").repartition(5),
+                           spark.createDataFrame(outcomes, "page_id long, bad int")).collect()
+    assert len(got) == 3000
+    for r in got:
+        rate, bound = want[rows[r["page_id"]][0]]
+        assert abs(r["rate"] - rate) < 1e-4 and abs(r["bound"] - bound) < 1e-4
+        assert r["verdict"] == ("block" if bound > min(0.5, 2 * overall) else "allow")
+    assert {r["verdict"] for r in got} == {"block", "allow"}
+
+
 # 10 license scans
 
 def test_license_base_matches_brute_force(spark, clashing):
@@ -436,6 +522,26 @@ def test_license_near_matches(spark, text, labels):
     assert got["labels"] == labels and (got["score"] > 0) == bool(labels)
 
 
+def test_license_neighbours_keep_their_labels():
+    ready = [(n, n.pattern()) for n in (licenses.Notice(w.encode(), label, k) for w, label, k in licenses.NOTICES)]
+    for text, labels in [("under the bsd 2 clause license", ["bsd-2"]), ("undr the bsd 4 clause licence", ["bsd-4"]),
+                         ("licensed under cc by nd 4 0", ["cc-by-nd"]), ("licensed under cc by nc nd 4 0", ["cc-by-nc-nd"]),
+                         ("under the apache license version 1 1", ["apache-1.1"]), ("under the mix license", []),
+                         ("under the gnu general public license version 1", ["gpl-1"]),
+                         ("under the gnu general public license version 4", []),
+                         ("under the gnu lesser general public licence version 3", ["lgpl-3"]),
+                         ("under the bsd 3 clause licens under the bsd 3 clause license", ["bsd-3", "bsd-3"])]:
+        found = licenses.best_matches(licenses._normal(text.encode())[0], ready)
+        assert [m[0].label for m in found] == labels, text
+
+
+def test_license_scan_of_very_many_notices(spark):
+    text = "under the bsd 3 clause license, all rights reserved. " * 4000
+    got = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [(m["label"], m["word"]) for m in got["near"][:3]] == [("bsd-3", 0), ("all-rights-reserved", 6), ("bsd-3", 9)]
+    assert len(got["near"]) == 8000 and got["n_words"] == 36_000
+
+
 def test_license_seeds_find_every_match():
     import regex
 

@@ -5,6 +5,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
@@ -47,7 +48,7 @@ def test_held_out_accuracy(spark, name, column):
     got = QUERIES[name](spark, SF).join(truth, "doc_id").filter("held_out").collect()
     assert got
     guess = "predicted" if column == "toxic" else "lang_pred"
-    assert sum(r[guess] == r[column] for r in got) >= 0.85 * len(got)
+    assert sum(r[guess] == r[column] for r in got) >= 0.96 * len(got)
 
 
 def test_pipeline(spark):
@@ -67,8 +68,24 @@ def test_pipeline_on_hostile_documents(spark, hostile, empty):
     for first in (hostile, empty):
         docs = first
         for name, stage in corpus_pipeline.STAGES:
-            docs = corpus_pipeline.stage_table(stage(spark, docs, SF), name)
-        assert docs.count() >= 0
+            before, docs = docs, corpus_pipeline.stage_table(stage(spark, docs, SF), name)
+            if name != "packing":
+                assert docs.columns == DOCUMENT_COLUMNS and docs.count() <= before.count()
+        # every row that reaches packing is there, from its first id to its end mark
+        assert docs.filter("piece = 0").count() == before.count()
+        assert (docs.count() > 0) == (first is hostile)
+    texts = {r["text"] for r in before.select("text").collect()}
+    assert None not in texts
+
+
+def test_rows_whose_hashes_meet_stay_apart(spark, hostile, monkeypatch):
+    from urbanpulse.llm import common
+
+    real = common.hash_id
+    monkeypatch.setattr(common, "hash_id", lambda *c, salt=0: real(*c, salt=salt) if salt else F.pmod(real(*c), F.lit(2)))
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20)), None, None, None) for i in range(9)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows + rows[:2], hostile.schema), SF)
+    assert Counter(map(tuple, kept.collect())) == Counter(rows)
 
 
 def test_stages_judge_rows_of_null_and_repeated_ids(spark, hostile):

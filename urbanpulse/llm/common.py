@@ -25,6 +25,30 @@ def fold(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
+def hash_id(*columns: str, salt: int = 0) -> Column:
+    """64-bit hash of the columns; each salt gives another one."""
+    return F.xxhash64(F.lit(salt), *columns) if salt else F.xxhash64(*columns)
+
+
+def settled_id(rows: DataFrame, *columns: str, rounds: int = 8) -> Column:
+    """A 64-bit number of the values in ``columns`` that different values of
+    ``rows`` don't share.
+
+    One aggregate holds every hash against a second one.  Values whose first
+    hash two of them share (some dozens among 5e10; only these hashes reach the
+    driver) take a salted hash, which is held against the others again.  Values
+    meet only if both hashes, 128 bits, agree."""
+    number = hash_id(*columns)
+    for salt in range(1, rounds + 1):
+        met = (rows.select(number.alias("id"), F.xxhash64(F.lit(-1), *columns).alias("other"))
+               .groupBy("id").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+               .filter("low <> high").select("id").collect())
+        if not met:
+            return number
+        number = F.when(number.isin(*[r["id"] for r in met]), hash_id(*columns, salt=salt)).otherwise(number)
+    raise RuntimeError(f"hashes still meet after {rounds} rounds")
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", max_bytes: int = SLICE_BYTES,
            max_rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of ``batch`` with a bounded number of rows and bytes."""

@@ -3,13 +3,16 @@
 A near match has at most ``edits`` character errors.  By the pigeonhole
 principle, one of edits + 1 parts of the notice then stands in the text without
 error: the parts are the exact seeds that locate candidates, and the regex
-library's bounded-error matching verifies each candidate's surroundings.
+library's bounded-error matching verifies each candidate's surroundings.  The
+words that tell a licence from its neighbours must stand in a match unchanged.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -33,12 +36,44 @@ NOTICES = (
     ("under the gnu general public license version 3", "gpl-3", 3),
     ("under the gnu general public license version 2", "gpl-2", 3),
     ("under the bsd 3 clause license", "bsd-3", 2),
+    ("under the bsd 2 clause license", "bsd-2", 2),
+    ("under the bsd 4 clause license", "bsd-4", 2),
+    ("under the apache license version 1 1", "apache-1.1", 3),
+    ("under the gnu general public license version 1", "gpl-1", 3),
+    ("under the gnu lesser general public license version 3", "lgpl-3", 3),
+    ("under the gnu lesser general public license version 2 1", "lgpl-2.1", 3),
+    ("under the gnu affero general public license version 3", "agpl-3", 3),
+    ("licensed under cc by nd 4 0", "cc-by-nd", 2),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa", 2),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd", 2),
     ("under the mozilla public license", "mpl", 2),
     ("creative commons attribution noncommercial", "cc-by-nc", 3),
     ("creative commons zero public domain dedication", "cc0", 3),
     ("all rights reserved", "all-rights-reserved", 1),
 )
 
+# The words that tell a notice from its neighbours.  Errors may stand
+# elsewhere; these words must be in the match as they are (one word, one place).
+TELLING = {
+    "under the mit license": "mit",
+    "under the apache license version 2 0": "apache 2",
+    "under the apache license version 1 1": "apache 1",
+    "licensed under cc by nc 4 0": "by nc",
+    "licensed under cc by sa 4 0": "by sa",
+    "licensed under cc by nd 4 0": "by nd",
+    "licensed under cc by nc sa 4 0": "by nc sa",
+    "licensed under cc by nc nd 4 0": "by nc nd",
+    "under the gnu general public license version 1": "version 1",
+    "under the gnu general public license version 2": "version 2",
+    "under the gnu general public license version 3": "version 3",
+    "under the gnu lesser general public license version 3": "version 3",
+    "under the gnu lesser general public license version 2 1": "version 2 1",
+    "under the gnu affero general public license version 3": "version 3",
+    "under the bsd 2 clause license": "bsd 2",
+    "under the bsd 3 clause license": "bsd 3",
+    "under the bsd 4 clause license": "bsd 4",
+}
+
 # a word is a run of ASCII letters and digits and of any non-ASCII characters
 _WORDS = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
 
@@ -55,6 +90,9 @@ class Notice:
         cuts = [n * i // k for i in range(k + 1)]
         return [(a, self.words[a:b]) for a, b in zip(cuts, cuts[1:])]
 
+    def telling(self) -> list[bytes]:
+        return TELLING.get(self.words.decode(), "").encode().split()
+
     def pattern(self):
         return regex.compile(b"(?b)(?:" + regex.escape(self.words) + b"){e<=%d}" % self.edits)
 
@@ -69,39 +107,38 @@ def places(text: bytes, phrase: bytes) -> list[int]:
 
 
 def candidate_windows(text: bytes, notice: Notice) -> list[tuple[int, int]]:
-    """Merged surroundings of the seeds, wide enough for any match with the
-    allowed errors."""
-    spans = sorted((max(0, at - off - notice.edits), at - off + len(notice.words) + notice.edits)
-                   for off, seed in notice.seeds() for at in places(text, seed))
-    out: list[tuple[int, int]] = []
-    for a, b in spans:
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+    """Surroundings of the seeds, each wide enough for any match around its seed
+    with the allowed errors, and too narrow for two matches side by side."""
+    return sorted({(max(0, at - off - notice.edits), min(len(text), at - off + len(notice.words) + notice.edits))
+                   for off, seed in notice.seeds() for at in places(text, seed)})
 
 
 def near_matches(text: bytes, notice: Notice, pattern) -> list[tuple[int, int, int]]:
-    """start, end, errors of the non-overlapping best matches."""
-    out = []
-    for a, b in candidate_windows(text, notice):
-        for m in pattern.finditer(text, a, min(b, len(text))):
-            if m.end() > m.start():
-                out.append((m.start(), m.end(), sum(m.fuzzy_counts)))
-    return out
+    """start, end, errors of the best match around every seed."""
+    found = (pattern.search(text, a, b) for a, b in candidate_windows(text, notice))
+    return sorted({(m.start(), m.end(), sum(m.fuzzy_counts)) for m in found if m and m.end() > m.start()})
+
+
+def tells(text: bytes, start: int, end: int, telling: list[bytes]) -> bool:
+    """Whether the words of a match, whole ones, hold the telling words in order."""
+    start, stop = text.rfind(b" ", 0, start + 1) + 1, text.find(b" ", end)
+    words = iter(text[start:stop if stop >= 0 else len(text)].split())
+    return all(word in words for word in telling)
 
 
 def best_matches(text: bytes, ready) -> list[tuple[Notice, int, int, int]]:
-    """Matches of all notices; of overlapping ones the one with the fewest
-    errors (then the longest, then the first) stays, so that neighbours such as
-    two versions of one license don't both match."""
-    found = [(errors, a - b, a, b, i) for i, (n, p) in enumerate(ready) for a, b, errors in near_matches(text, n, p)]
-    kept: list[tuple[Notice, int, int, int]] = []
+    """Matches of all notices that hold their notice's telling words; of
+    overlapping ones the one with the fewest errors (then the longest, then the
+    first) stays, so that neighbours such as two versions of one license don't
+    both match."""
+    found = [(errors, a - b, a, b, i) for i, (n, p) in enumerate(ready) for a, b, errors in near_matches(text, n, p)
+             if tells(text, a, b, n.telling())]
+    kept: list[tuple[int, int, int, int]] = []  # in order, none overlaps another
     for errors, _, a, b, i in sorted(found):
-        if all(b <= x or a >= y for _, x, y, _ in kept):
-            kept.append((ready[i][0], a, b, errors))
-    return sorted(kept, key=lambda m: m[1:])
+        at = bisect_left(kept, (a,))
+        if (at == 0 or kept[at - 1][1] <= a) and (at == len(kept) or kept[at][0] >= b):
+            kept.insert(at, (a, b, errors, i))
+    return [(ready[i][0], a, b, errors) for a, b, errors, i in kept]
 
 
 def _normal(text: bytes) -> tuple[bytes, int]:
@@ -133,7 +170,8 @@ def scan_licenses(docs: DataFrame, base: dict[str, str] | None = None, notices=N
                 for data in encoded(part):
                     text, n = _normal(data)
                     sizes.append(n)
-                    word = lambda at: text.count(b" ", 0, at + 1) - 1  # noqa: B023, E731
+                    blanks = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
+                    word = lambda at: int(np.searchsorted(blanks, at, "right")) - 1  # noqa: B023, E731
                     exact.append([{"label": label, "word": word(at)} for p, label in base for at in places(text, p)])
                     own = []
                     for notice, a, b, errors in best_matches(text, ready):

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from urbanpulse.llm.anchors import GRAMS, K, LENGTH, anchors
-from urbanpulse.llm.common import encoded, slices, table
+from urbanpulse.llm.common import encoded, settled_id, slices, table
 from urbanpulse.llm.lcpmerge import front_code, front_decode, merge
 from urbanpulse.session import stage_table
 
@@ -378,8 +378,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     others = [c for c in docs.columns if c != "text"]
     docs = docs.select(F.struct(*others).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.xxhash64(text).alias("tid"), F.octet_length(text).cast("long").alias("size"), text.alias("text"))
-    with_id = docs.filter(F.col("doc_id").isNotNull() & (F.col("size") >= LENGTH))
+                       F.octet_length(text).cast("long").alias("size"), text.alias("text"))
+    comparable = F.col("doc_id").isNotNull() & (F.col("size") >= LENGTH)
+    docs = docs.withColumn("tid", settled_id(docs.filter(comparable), "text"))
+    with_id = docs.filter(comparable)
     keys = stage_table(with_id.select("doc_id", "tid", "size"), "keys")
     texts = stage_table(keys.groupBy("tid").agg(F.min("doc_id").alias("first"), F.max("size").alias("size")), "texts")
     volume = (texts.agg(F.sum("size")).first()[0] or 0) * DENSITY

@@ -8,8 +8,9 @@ sequences at once; when no pair is left, the surviving symbols are the tokens.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,13 @@ class MergeTable:
         self.special = [t["content"] for t in spec["added_tokens"]]
         split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split)
+        self.path = path
+
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def pre_tokens(self, piece: str) -> list[bytes]:
         """Pre-tokens of a text without white space (NFC, lower case character
@@ -106,6 +114,15 @@ def _merge_table(path: str) -> MergeTable:
     return MergeTable(path)
 
 
+@lru_cache(maxsize=1)
+def _unassigned() -> re.Pattern:
+    """Code points that Python's Unicode tables don't assign.  The library's may
+    be newer, and class, fold or compose them otherwise."""
+    odd = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
+    edges = np.flatnonzero(np.diff(odd.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
+    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b - 1))}" for a, b in edges.tolist()) + "]")
+
+
 def _pieces(text: str, special: regex.Pattern) -> tuple[list[str], int]:
     """White-space pieces of a text, and how many special strings it holds."""
     found = 0
@@ -126,7 +143,8 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     tokens; special strings inside a text count as one token each; repeated
     rows are counted one by one; other columns are not read.  Each slice's
     distinct unseen pieces are merged in one array; a worker remembers a
-    bounded number of pieces.
+    bounded number of pieces.  Pieces with code points that Python's Unicode
+    tables don't assign are counted by the ``tokenizers`` library itself.
     """
 
     def run(batches):
@@ -142,6 +160,10 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
                 if len(memo) > 400_000:
                     memo.clear()
                 new = list({p for pieces, _ in split for p in pieces} - memo.keys())
+                odd = [p for p in new if not p.isascii() and _unassigned().search(p)]
+                if odd:
+                    memo.update((p, len(merges.library.encode(p, add_special_tokens=False).ids)) for p in odd)
+                    new = [p for p in new if p not in memo]
                 if new:
                     pre = [merges.pre_tokens(p) for p in new]
                     words = list({w for p in pre for w in p})

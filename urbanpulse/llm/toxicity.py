@@ -309,7 +309,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, sample: int = 10_000) ->
     n = int(count.sum())
     share = min(1.0, 1.2 * sample / max(n, 1))
     top = 2**63 - 1 if share == 1 else int(-2**63 + share * 2**64)
-    seen = (docs.withColumn("ord", F.xxhash64("doc_id")).filter(F.col("ord") <= top).select("ord", "text")
+    seen = (docs.withColumn("ord", F.xxhash64("doc_id", "text")).filter(F.col("ord") <= top).select("ord", "text")
             .mapInArrow(look, "ord long, pattern long, found binary").orderBy("ord").limit(sample).collect())
     if seen:
         pattern = np.array([r["pattern"] for r in seen], dtype=np.int64)

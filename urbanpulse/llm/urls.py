@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbanpulse.llm.common import table
+from urbanpulse.operators.joins import HOT_SHARE, split_hot_join
+from urbanpulse.session import stage_table
 
 # The rules of the query (verdict, host and path beginning).
 RULES = (
@@ -29,6 +31,9 @@ RULES = (
 # is the last label.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.kr", "com.br", "com.mx", "co.in", "co.za")
 
+#: A host is blocked when the lower bound of its rate of bad pages is over this
+#: many times the overall rate, or over BAD_ABOVE if that is less.
+TIMES_OVERALL = 2.0
 BAD_ABOVE = 0.5
 Z = 1.96
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1000.0
@@ -61,14 +66,21 @@ def longest_rule(rules, host_: str = "host", path_: str = "path") -> tuple[Colum
     return rule, verdict
 
 
+def bare_host(host_: Column) -> Column:
+    """The host without user name, port and a dot at its end."""
+    return F.regexp_replace(F.regexp_replace(host_, r"^.*@", ""), r"\.?(:[0-9]*)?$", "")
+
+
 def registered_domain(host_: Column) -> tuple[Column, Column]:
-    """Registered domain and suffix of a host."""
+    """Registered domain and suffix of a bare host.  An address (IPv4, or IPv6 in
+    brackets) is its own domain, under an empty suffix."""
+    address = host_.rlike(r"^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\])$")
     labels = F.split(host_, r"\.")
     last_two = F.substring_index(host_, ".", -2)
     long_suffix = last_two.isin(*TWO_LABEL_SUFFIXES) & (F.size(labels) > 2)
     suffix = F.when(long_suffix, last_two).otherwise(F.substring_index(host_, ".", -1))
     domain = F.when(long_suffix, F.substring_index(host_, ".", -3)).otherwise(last_two)
-    return domain, suffix
+    return F.when(address, host_).otherwise(domain), F.when(address, "").otherwise(suffix)
 
 
 def _strength(level: DataFrame, parent_rate: str) -> float:
@@ -86,8 +98,9 @@ def _strength(level: DataFrame, parent_rate: str) -> float:
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """host, n, bad, rate (posterior mean), bound (lower bound) for every host
-    of ``outcomes`` (host, bad: 1, 0 or null if the page isn't labelled).
+    """host, pages, n, bad, rate (posterior mean), bound (lower bound), overall
+    (rate of all labelled pages) for every host of ``outcomes`` (host, bad: 1, 0
+    or null if the page isn't labelled).
 
     Hosts without labelled pages have their domain's rate, domains their
     suffix's, and all the overall rate (one half if no page is labelled).
@@ -95,7 +108,8 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     total reach the driver.
     """
     domain, suffix = registered_domain(F.col("host"))
-    hosts = (outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    hosts = (outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"),
+                                           F.count(F.lit(1)).alias("pages"))
              .withColumns({"domain": domain, "suffix": suffix}))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -112,32 +126,43 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     hosts = shrunk(hosts.join(domains.select("domain", "suffix", "domain_rate"), ["domain", "suffix"]),
                    "domain_rate", "rate")
     deviation = F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("rate_weight") + 1))
-    return hosts.select("host", "n", "bad", "rate", (F.col("rate") - Z * deviation).alias("bound"))
+    return hosts.select("host", "pages", "n", "bad", "rate", F.greatest(F.lit(0.0), F.col("rate") - Z * deviation).alias("bound"),
+                        F.lit(float(overall)).alias("overall"))
 
 
-def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, bad_above: float = BAD_ABOVE) -> DataFrame:
+def filter_urls(pages: DataFrame, outcomes: DataFrame, rules=RULES, bad_above: float | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict, rate, bound for every row of
     ``pages`` (page_id, url).
 
     ``outcomes`` (page_id, bad): labelled pages; one labelled twice is bad if
     any label says so; null ids and outcomes are left out.  A fitting rule
     decides; else the host is blocked if the lower bound of its rate is over
-    ``bad_above``.  Null urls and urls without ``://`` have empty host and
-    path.  Repeated rows are judged one by one; other columns are not read.
+    ``bad_above`` (default: TIMES_OVERALL times the overall rate, BAD_ABOVE at
+    most).  Hosts count without user name and port.  Null urls and urls without
+    ``://`` have empty host and path.  Repeated rows are judged one by one; other
+    columns are not read.
+
+    The hosts are stored; those of more than one in 10,000 pages, fewer than
+    10,000 therefore, meet their pages without a shuffle.
     """
     pages = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
+    pages = pages.withColumn("bare", bare_host(F.col("host")))
     known = (outcomes.filter(F.col("page_id").isNotNull() & F.col("bad").isNotNull())
              .groupBy("page_id").agg(F.max(F.col("bad").cast("int")).alias("bad")))
-    hosts = host_reputation(pages.select("page_id", "host").join(known, "page_id", "left"))
+    hosts = stage_table(host_reputation(pages.select("page_id", F.col("bare").alias("host")).join(known, "page_id", "left"))
+                        .withColumnRenamed("host", "bare"), "hosts")
+    total = hosts.agg(F.sum("pages")).first()[0] or 0
+    hot = hosts.filter(F.col("pages") > HOT_SHARE * total).select("bare")
     rule, ruled = longest_rule(rules)
-    own = F.when(F.col("bound") > bad_above, "block").otherwise("allow")
-    return (pages.join(hosts.select("host", "rate", "bound"), "host", "left")
+    limit = F.lit(bad_above) if bad_above is not None else F.least(F.lit(BAD_ABOVE), TIMES_OVERALL * F.col("overall"))
+    own = F.when(F.col("bound") > limit, "block").otherwise("allow")
+    return (split_hot_join(pages, hosts.select("bare", "rate", "bound", "overall"), "bare", hot)
             .select("page_id", "host", "path", rule.alias("rule"), F.coalesce(ruled, own).alias("verdict"),
-                    F.round("rate", 4).alias("rate")))
+                    F.round("rate", 4).alias("rate"), F.round("bound", 4).alias("bound")))
 
 
 def op9_url_filters(spark, sf_dir: str) -> DataFrame:
     """Labelled outcomes: pages whose id has a quality label; quality 0 is bad."""
     outcomes = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"), (F.col("quality") == 0).cast("int").alias("bad"))
-    return filter_urls(table(spark, sf_dir, "pages"), outcomes).drop("rate")
+    return filter_urls(table(spark, sf_dir, "pages"), outcomes)

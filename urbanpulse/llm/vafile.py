@@ -18,15 +18,20 @@ from urbanpulse.llm.common import table
 from urbanpulse.session import stage_table
 
 CELLS = 64
+#: Inner products of vectors up to this (see ``quantised``) stay below 2^62.
+MOST = 2**31 - 1
 #: Queries that are broadcast at once.
 BLOCK_QUERIES = 2048
 
 
 def quantised(embeddings: DataFrame, scale: int = 256) -> DataFrame:
     """vec_id, vec: floor(scale * component) of every vector without null or
-    non-finite components; null vectors and null ids are left out."""
+    non-finite components; null vectors and null ids are left out.  So are
+    vectors with a component that is, times scale and the root of the length, over
+    MOST: their inner products need not fit in 64 bits."""
     x = F.col("embedding")
-    odd = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    most = F.lit(float(MOST)) / (scale * F.sqrt(F.greatest(F.size(x), F.lit(1))))
+    odd = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v.cast("double")) > most))
     return (embeddings.filter(F.col("vec_id").isNotNull() & x.isNotNull() & ~F.coalesce(odd, F.lit(False)))
             .select("vec_id", F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long")).alias("vec")))
 
@@ -123,6 +128,10 @@ def _scan(queries: list[tuple[int, np.ndarray]], grid, keep: int, rows: int = 20
                     lo = lo.astype(np.float64)
                     _, up, down, best, kept = held[n]
                     lower, upper = (lo @ up + hi @ down).T, (hi @ up + lo @ down).T
+                    # of large vectors the bounds are rounded: widen them by what that can be
+                    off = np.maximum(abs(lo).max(initial=0), abs(hi).max(initial=0)) * (up - down).sum(axis=0) * 2.0**-44
+                    off = np.where(off < 0.5, 0.0, off)[:, None]
+                    lower, upper = lower - off, upper + off
                     best = np.concatenate([best, lower], axis=1)
                     if best.shape[1] > keep:
                         best = -np.partition(-best, keep - 1, axis=1)[:, :keep]
@@ -157,7 +166,7 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame
     Vectors are compared with those of the same length only.  Rows with the same
     vector stand for their k + 1 smallest ids (no other can be a result); rows
     with the same id and vector count once.  The queries are taken in blocks,
-    each against all vectors.  Components up to 2^40 / length are exact.
+    each against all vectors.  Scores are exact for vectors that ``quantised`` gives.
     """
     spark = vectors.sparkSession
     vectors = distinct_vectors(vectors, k + 1)
@@ -169,13 +178,15 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame
     for b in range(blocks):
         own = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).collect()  # about BLOCK_QUERIES rows
         scan = _scan([(r["query_id"], np.array(r["query"], dtype=np.int64)) for r in own], grid, k + 1)
-        part = cells.mapInArrow(scan, "query_id long, vid long, lower long, upper long")
+        # stored before the next block is collected: the driver holds one at a time
+        part = stage_table(cells.mapInArrow(scan, "query_id long, vid long, lower long, upper long"), "scanned")
+        del own, scan
         found = part if found is None else found.unionByName(part)
     by_query = Window.partitionBy("query_id")
     lower_rank = F.row_number().over(by_query.orderBy(F.desc("lower"), "vid"))
     least = F.min(F.when(F.col("lower_rank") == k + 1, F.col("lower"))).over(by_query)
     candidates = stage_table(
-        stage_table(found, "scanned").withColumn("lower_rank", lower_rank).withColumn("least", least)
+        found.withColumn("lower_rank", lower_rank).withColumn("least", least)
         .filter(F.col("least").isNull() | (F.col("upper") >= F.col("least")))
         .withColumn("order", F.row_number().over(by_query.orderBy(F.desc("upper"), "vid")))
         .select("query_id", "vid", "upper", "order"), "candidates")
