@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbanpulse.llm.common import table
+from urbanpulse.llm.common import settled_id, table
 from urbanpulse.llm.decontaminate import decontaminate
 from urbanpulse.llm.jaccard import jaccard_components
 from urbanpulse.llm.langid import drop_rejected, fit_languages, training_rows
@@ -41,8 +41,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     doc_id; of equal rows one.  Rows with a null doc_id stay.  Rows that share a
     doc_id are judged by their own text, and of those in one component one stays."""
     _small_batches(spark)
-    # rows of one id and one text share their fate: a hash of both stands for them
-    keyed = docs.filter(F.col("doc_id").isNotNull()).withColumn("__row", F.xxhash64("doc_id", "text"))
+    # rows of one id and one text share their fate: a number of both stands for them
+    keyed = docs.filter(F.col("doc_id").isNotNull())
+    keyed = keyed.withColumn("__row", settled_id(keyed, "doc_id", "text"))
     found = jaccard_components(keyed.select(F.col("__row").alias("doc_id"), "text")).distinct()
     first = F.min(F.struct("doc_id", "__row"))["__row"].alias("__row")
     kept = (keyed.select("__row", "doc_id").distinct()
