@@ -380,6 +380,20 @@ def test_language_id_held_out(spark):
     assert np.mean([r["rejected"] for r in got]) < 0.02
 
 
+def test_language_id_rejects_junk(spark):
+    docs = language_table(spark)
+    model = langid.fit_languages(docs.filter("doc_id % 5 <> 0"))
+    rng = random.Random(28)
+    drawn = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    scripts = ["abcdefghijklmnopqrstuvwxyz     ", "αβγδεζηθικλμνξοπρστυφχψω ", "абвгдежзийклмнопрстуфхцч ", "的一是不了人我在有他这中大来上国"]
+    for letters in scripts:
+        for n in (30, 100, 400, 2000):
+            found = langid.judge([drawn(letters, n) for _ in range(50)], model)
+            assert sum(f[2] for f in found) >= 48, (letters, n)
+    clean = langid.judge([r["text"] for r in docs.filter("doc_id % 5 = 0").collect()], model)
+    assert np.mean([f[2] for f in clean]) < 0.02
+
+
 def test_language_id_learns_a_rare_language(spark):
     rng = random.Random(18)
     parts = {"aa": ["the", "ing", "tion", "wh"], "bb": ["sch", "ung", "ein", "ach"], "rr": ["kuu", "ylo", "vaa", "ppi"]}

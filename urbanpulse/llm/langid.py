@@ -26,6 +26,9 @@ LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 #: Training texts that every language may keep, however many languages there are.
 LEAST_SAMPLE = 100
+#: Sampled texts that a rejection floor rests on, and the first length class
+#: (power of two of the number of trigrams) that has one.
+LEAST_CLASS, SHORTEST = 20, 3
 
 # ASCII that is no letter counts as a blank; other bytes stand for themselves
 _BLANK = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -152,7 +155,7 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def fit_languages(train: DataFrame, *, sample: int = 3000, clusters: int = 4,
-                  slack: float = 0.5) -> LanguageModel:
+                  slack: float = 0.5, low: float = 0.005) -> LanguageModel:
     """Fit on ``train`` (doc_id, text, lang).
 
     Inverse document frequencies are taken over all training texts.  Centroids
@@ -160,9 +163,10 @@ def fit_languages(train: DataFrame, *, sample: int = 3000, clusters: int = 4,
     distinct rows (doc_id, text) the first in the order of a hash, at most
     ``sample`` divided by the number of languages, or LEAST_SAMPLE if that is
     more.  So each language with a training row has centroids.  The floor of a length class is ``slack``
-    times the least cosine any sampled text of that class has with its own
-    language; a class with under 20 sampled texts takes the floor of the class
-    of shorter texts before it, the first none.  Rows with null
+    times the ``low`` quantile of the cosines that sampled texts of that class have
+    with their own language; a class with under LEAST_CLASS sampled texts is taken
+    together with its nearest neighbours.  Texts of under 2^SHORTEST - 1 trigrams,
+    and those of a model of under LEAST_CLASS texts, have none.  Rows with null
     lang or without a letter are not learned; without rows the model is empty.
     """
     spark = train.sparkSession
@@ -202,13 +206,17 @@ def fit_languages(train: DataFrame, *, sample: int = 3000, clusters: int = 4,
         owners += [lang] * len(c)
         cosines.append((x @ c.T).max(axis=1))
     length, own_cosine = np.concatenate(lengths), np.concatenate(cosines)
-    floor, last = {}, 0.0
-    for bucket in range(0, 64):
-        here = own_cosine[length == bucket]
-        if len(here) >= 20:
-            last = max(0.0, slack * float(here.min()))
-        floor[bucket] = last
-    return LanguageModel(idf, np.vstack(centroids), owners, floor)
+    return LanguageModel(idf, np.vstack(centroids), owners, _floors(length, own_cosine, slack, low))
+
+
+def _floors(length: np.ndarray, cosine: np.ndarray, slack: float, low: float) -> dict[int, float]:
+    """Rejection floor of every length class (see ``fit_languages``)."""
+    floor = {}
+    for bucket in range(SHORTEST, 64 if len(cosine) >= LEAST_CLASS else 0):
+        away = np.abs(length - bucket)
+        reach = np.sort(away)[LEAST_CLASS - 1]  # the class alone, or with as many neighbours as it takes
+        floor[bucket] = max(0.0, slack * float(np.quantile(cosine[away <= reach], low)))
+    return floor
 
 
 def judge(texts: list[str | None], model: LanguageModel) -> list[tuple[str, float, bool]]:
