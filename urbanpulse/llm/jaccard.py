@@ -325,13 +325,14 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
     groups = nodes.groupBy("gid", "n").agg(F.min("rep").alias("rep"), F.min_by("node", "rep").alias("leader"),
                                            F.count("*").alias("members"))
 
-    # groups that share a prefix shingle
+    # groups that share a prefix shingle: counted where the entries meet by key,
+    # so that only shared ones go on, once, to their groups
     of_key = Window.partitionBy("key")
     shared = (_entries(with_id, hot, size, percent)
               .withColumns({"low": F.min("gid").over(of_key), "high": F.max("gid").over(of_key)})
-              .filter("low < high").select("key", "gid").distinct())
+              .filter("low < high").select("key", "gid").distinct()
+              .withColumn("sharing", F.count("*").over(of_key)))
     shared = stage_table(shared.join(groups.select("gid", "n", "rep"), "gid")
-                         .withColumn("sharing", F.count("*").over(of_key))
                          # 1: of the group's keys the one that most groups share
                          .withColumn("rank", F.row_number().over(
                              Window.partitionBy("gid").orderBy(F.desc("sharing"), "key")))
@@ -357,8 +358,11 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
     large = shared.filter(F.col("sharing") > SMALL_KEY)
     weight = large.groupBy("gid").agg(F.sum("sharing").alias("weight"))
     large = stage_table(large.join(weight, "gid").select("key", "gid", "n", "rep", "rank", "weight"), "large")
-    first_of = F.struct((-F.col("weight")).alias("w"), "rep", "gid", "n")
-    to_leader = (large.withColumn("first", F.min(first_of).over(of_key)).filter("gid <> first.gid")
+    # one row per key, pre-aggregated in each task; the stored table meets the
+    # keys' rows by a join that Spark can split where one key has many
+    first_of = F.min(F.struct((-F.col("weight")).alias("w"), "rep", "gid", "n")).alias("first")
+    leaders = stage_table(large.groupBy("key").agg(first_of), "leaders")
+    to_leader = (large.join(leaders, "key").filter("gid <> first.gid")
                  .select(F.least("gid", "first.gid").alias("gid_a"), F.greatest("gid", "first.gid").alias("gid_b"),
                          F.when(F.col("gid") < F.col("first.gid"), F.col("n")).otherwise(F.col("first.n")).alias("n_a"),
                          F.when(F.col("gid") < F.col("first.gid"), F.col("first.n")).otherwise(F.col("n")).alias("n_b"))
