@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbanpulse.session import stage_table
+
 #: Text handled at once inside a task; a longer single text is a slice of its own.
 SLICE_BYTES = 2 << 20
 SLICE_ROWS = 512
@@ -20,6 +22,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``stage_table``, after which the shuffle files that its plan left are
+    given back: Spark removes those of a shuffle once the driver has collected
+    its objects, by itself at long intervals only."""
+    out = stage_table(df, name)
+    release(df.sparkSession)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nothing refers to."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5; fold 0 is held out."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5

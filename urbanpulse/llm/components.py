@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbanpulse.llm.common import stored
 from urbanpulse.session import stage_table
 
 
@@ -36,7 +37,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
         small = (large.join(low, large["a"] == low["u"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select(F.col("u").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct())
-        edges = stage_table(small, "links")
+        edges = stored(small, "links")
         state, last = _state(edges), state
         if state == last:
             break

@@ -16,18 +16,16 @@ component, so all pairs of distinct sets inside each component are compared.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from urbanpulse.llm.common import encoded, slices, table
+from urbanpulse.llm.common import encoded, release, slices, stored, table
 from urbanpulse.llm.components import components
 from urbanpulse.llm.shingles import mix, shingle_set
-from urbanpulse.session import stage_table
+from urbanpulse.session import scratch_table
 
 SHINGLE = 5
 PERCENT = 75
@@ -109,7 +107,7 @@ def _digests(docs: DataFrame, hot, size: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n": pa.array(n, pa.int64()),
                                                   "node": pa.array(node, pa.int64()), "gid": pa.array(gid, pa.int64())})
 
-    return stage_table(docs.mapInArrow(run, "doc_id long, n long, node long, gid long"), "digests")
+    return stored(docs.mapInArrow(run, "doc_id long, n long, node long, gid long"), "digests")
 
 
 def _entries(docs: DataFrame, hot, size: int, percent: int) -> DataFrame:
@@ -170,9 +168,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, need: DataFrame, size: int) -> str:
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "node": part.column("node"),
                                                   "set": pa.array(out, pa.binary())})
 
-    name, buckets = f"sets_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    name, buckets = scratch_table(docs.sparkSession, "sets"), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (docs.join(need, "doc_id").select("doc_id", "node", "text").mapInArrow(sets, "doc_id long, node long, set binary")
      .filter("set is not null").write.bucketBy(buckets, "doc_id").sortBy("doc_id").saveAsTable(name))
+    release(docs.sparkSession)
     return name
 
 
@@ -200,7 +199,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: str, percent: int) -> Da
     for x in ("a", "b"):
         pairs = pairs.join(nodes.select(F.col("node").alias(x), F.col("rep").alias(f"doc_id_{x}")), x)
     with_sets = pairs.join(side("a"), "doc_id_a").join(side("b"), "doc_id_b")
-    return stage_table(with_sets.select("a", "b", "node_a", "node_b", "set_a", "set_b")
+    return stored(with_sets.select("a", "b", "node_a", "node_b", "set_a", "set_b")
                        .mapInArrow(check, "a long, b long"), "verified")
 
 
@@ -321,7 +320,7 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
     hot = spark.sparkContext.broadcast(hot_shingles(with_id, size))
     digests = _digests(docs, hot, size, percent)
     known = digests.filter("n > 0 and doc_id is not null")
-    nodes = stage_table(known.groupBy("node", "gid", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "nodes")
+    nodes = stored(known.groupBy("node", "gid", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "nodes")
     groups = nodes.groupBy("gid", "n").agg(F.min("rep").alias("rep"), F.min_by("node", "rep").alias("leader"),
                                            F.count("*").alias("members"))
 
@@ -332,7 +331,7 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
               .withColumns({"low": F.min("gid").over(of_key), "high": F.max("gid").over(of_key)})
               .filter("low < high").select("key", "gid").distinct()
               .withColumn("sharing", F.count("*").over(of_key)))
-    shared = stage_table(shared.join(groups.select("gid", "n", "rep"), "gid")
+    shared = stored(shared.join(groups.select("gid", "n", "rep"), "gid")
                          # 1: of the group's keys the one that most groups share
                          .withColumn("rank", F.row_number().over(
                              Window.partitionBy("gid").orderBy(F.desc("sharing"), "key")))
@@ -346,7 +345,7 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
         return a.join(b, on & _compatible(percent))
 
     small = shared.filter(F.col("sharing") <= SMALL_KEY).select("key", "gid", "n", "rank", "large")
-    in_small = stage_table(
+    in_small = stored(
         pairs_of(small, small, F.expr("key_a = key_b and gid_a < gid_b"))
         .groupBy("gid_a", "gid_b", "n_a", "n_b", "large_a", "large_b")
         .agg(F.count("*").alias("c"), F.max(F.least("rank_a", "rank_b")).alias("rank")), "small_pairs")
@@ -357,17 +356,17 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
     # made from one text that text rather than one of the copies
     large = shared.filter(F.col("sharing") > SMALL_KEY)
     weight = large.groupBy("gid").agg(F.sum("sharing").alias("weight"))
-    large = stage_table(large.join(weight, "gid").select("key", "gid", "n", "rep", "rank", "weight"), "large")
+    large = stored(large.join(weight, "gid").select("key", "gid", "n", "rep", "rank", "weight"), "large")
     # one row per key, pre-aggregated in each task; the stored table meets the
     # keys' rows by a join that Spark can split where one key has many
     first_of = F.min(F.struct((-F.col("weight")).alias("w"), "rep", "gid", "n")).alias("first")
-    leaders = stage_table(large.groupBy("key").agg(first_of), "leaders")
+    leaders = stored(large.groupBy("key").agg(first_of), "leaders")
     to_leader = (large.join(leaders, "key").filter("gid <> first.gid")
                  .select(F.least("gid", "first.gid").alias("gid_a"), F.greatest("gid", "first.gid").alias("gid_b"),
                          F.when(F.col("gid") < F.col("first.gid"), F.col("n")).otherwise(F.col("first.n")).alias("n_a"),
                          F.when(F.col("gid") < F.col("first.gid"), F.col("first.n")).otherwise(F.col("n")).alias("n_b"))
                  .filter(_compatible(percent)).groupBy("gid_a", "gid_b", "n_a", "n_b").agg(F.count("*").alias("c")))
-    group_pairs = stage_table(in_small.select("gid_a", "gid_b", "n_a", "n_b", "c").unionByName(to_leader).groupBy("gid_a", "gid_b", "n_a", "n_b")
+    group_pairs = stored(in_small.select("gid_a", "gid_b", "n_a", "n_b", "c").unionByName(to_leader).groupBy("gid_a", "gid_b", "n_a", "n_b")
                               .agg(F.sum("c").alias("c")).filter(f"c >= {_needed(percent)}").select("gid_a", "gid_b"), "pairs")
 
     # first expansion: every member with the other group's leader and its own
@@ -382,45 +381,47 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
                      .select(F.col("lead_a").alias("a"), "b"))
         .unionByName(groups.filter("members > 1").join(member, "gid")
                      .select(F.col("leader").alias("a"), F.col("node").alias("b"))))
-    first = stage_table(first, "first")
+    first = stored(first, "first")
     sets = _sets(with_id, nodes, first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
                  .unionByName(large.select("gid").distinct().join(member, "gid").select("node")), size)
-    links, tried = _verified(first, nodes, sets, percent), first
-
-    def parts() -> DataFrame:
-        return stage_table(nodes.join(components(links).withColumnRenamed("a", "node"), "node", "left")
-                           .select("node", "gid", "n", F.coalesce("component", "node").alias("part")), "parts")
-
-    # what large keys still hold apart is tied to a second leader, outside the
-    # key's largest part
-    part = parts()
-    second = stage_table(_second_leaders(large.select("key", "gid", "weight").join(part, "gid"), percent)
-                         .join(tried, ["a", "b"], "left_anti"), "second")
-    if not second.isEmpty():
-        links, tried = links.unionByName(_verified(second, nodes, sets, percent)), tried.unionByName(second)
-        part = parts()
+    try:
+        links, tried = _verified(first, nodes, sets, percent), first
 
-    # the rest: pairs whose ends are still in different components
-    mixed = groups.filter("members > 1").select("gid").join(part, "gid")
-    of_gid = _different(mixed.select(F.col("gid").alias("key"), "node", "n", "part", F.col("n").alias("rank")), percent).select("a", "b")
-    of_pairs = (group_pairs.unionByName(perhaps).distinct()
-                .join(part.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("part").alias("part_a")), "gid_a")
-                .join(part.select(F.col("gid").alias("gid_b"), F.col("node").alias("b"), F.col("part").alias("part_b")), "gid_b")
-                .filter("part_a <> part_b").select("a", "b"))
-    of_large = _different(large.select("key", "gid", "rank").join(part, "gid").select("key", "node", "n", "part", "rank"),
-                          percent).select("a", "b")
-    rest = stage_table(_ordered(of_gid.unionByName(of_pairs).unionByName(of_large)).join(tried, ["a", "b"], "left_anti"),
-                       "rest")
-    if not rest.isEmpty():
-        links = links.unionByName(_verified(rest, nodes, sets, percent))
-    # components of nodes, then of documents
-    whole = components(links).withColumnRenamed("a", "node")
-    owned = nodes.join(whole, "node", "left").select("node", "n", "rep", "copies", F.coalesce("component", "node").alias("component"))
-    between = None
-    if want:
-        owned = stage_table(owned, "owned")
-        between = stage_table(_linked_nodes(owned, spark.table(sets).select("node", "set"), percent, want == "pairs"), "between")
-    spark.sql(f"DROP TABLE IF EXISTS {sets}")
+        def parts() -> DataFrame:
+            return stored(nodes.join(components(links).withColumnRenamed("a", "node"), "node", "left")
+                               .select("node", "gid", "n", F.coalesce("component", "node").alias("part")), "parts")
+
+        # what large keys still hold apart is tied to a second leader, outside the
+        # key's largest part
+        part = parts()
+        second = stored(_second_leaders(large.select("key", "gid", "weight").join(part, "gid"), percent)
+                             .join(tried, ["a", "b"], "left_anti"), "second")
+        if not second.isEmpty():
+            links, tried = links.unionByName(_verified(second, nodes, sets, percent)), tried.unionByName(second)
+            part = parts()
+
+        # the rest: pairs whose ends are still in different components
+        mixed = groups.filter("members > 1").select("gid").join(part, "gid")
+        of_gid = _different(mixed.select(F.col("gid").alias("key"), "node", "n", "part", F.col("n").alias("rank")), percent).select("a", "b")
+        of_pairs = (group_pairs.unionByName(perhaps).distinct()
+                    .join(part.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("part").alias("part_a")), "gid_a")
+                    .join(part.select(F.col("gid").alias("gid_b"), F.col("node").alias("b"), F.col("part").alias("part_b")), "gid_b")
+                    .filter("part_a <> part_b").select("a", "b"))
+        of_large = _different(large.select("key", "gid", "rank").join(part, "gid").select("key", "node", "n", "part", "rank"),
+                              percent).select("a", "b")
+        rest = stored(_ordered(of_gid.unionByName(of_pairs).unionByName(of_large)).join(tried, ["a", "b"], "left_anti"),
+                           "rest")
+        if not rest.isEmpty():
+            links = links.unionByName(_verified(rest, nodes, sets, percent))
+        # components of nodes, then of documents
+        whole = components(links).withColumnRenamed("a", "node")
+        owned = nodes.join(whole, "node", "left").select("node", "n", "rep", "copies", F.coalesce("component", "node").alias("component"))
+        between = None
+        if want:
+            owned = stored(owned, "owned")
+            between = stored(_linked_nodes(owned, spark.table(sets).select("node", "set"), percent, want == "pairs"), "between")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {sets}")
     smallest = owned.groupBy("component").agg(F.min("rep").alias("component_id"))
     label = owned.join(smallest, "component").select("node", "component_id", "copies")
     if want == "count":
