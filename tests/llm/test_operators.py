@@ -147,8 +147,10 @@ def test_jaccard_join_counts_every_link(spark, clashing, empty, monkeypatch):
     rows += [(200 + i, rows[5][1]) for i in range(7)] + [rows[9], rows[9], (300, "alone " * 9), (301, None), (None, rows[5][1])]
     want, pairs = plain_links(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for most in (jaccard.LINK_SHINGLES, 900):  # one group, then chunks of a component
-        monkeypatch.setattr(jaccard, "LINK_SHINGLES", most)
+    # one group, then chunks of a component by shingles, by sets
+    for shingles_most, nodes_most in ((jaccard.LINK_SHINGLES, jaccard.LINK_NODES), (900, 2048), (400_000, 20)):
+        monkeypatch.setattr(jaccard, "LINK_SHINGLES", shingles_most)
+        monkeypatch.setattr(jaccard, "LINK_NODES", nodes_most)
         got = jaccard.jaccard_join(docs)
         assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
         assert table_of(got, "doc_id", "n_links") == want
@@ -158,6 +160,22 @@ def test_jaccard_join_counts_every_link(spark, clashing, empty, monkeypatch):
     assert jaccard.jaccard_join(empty).count() == 0
 
 
+def test_similar_as_grouped_prefix_join(monkeypatch):
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(1, 2**63, 80, dtype=np.uint64))
+    sets = []
+    for i in range(70):  # near copies, half of a text, single shingles, strangers
+        s = np.array(base)
+        s[rng.integers(0, len(s), rng.integers(0, 16))] = rng.integers(1, 2**63, dtype=np.uint64)
+        sets.append(np.unique((s, s[:40], base[:1], rng.integers(1, 2**63, 30, dtype=np.uint64))[min(3, i % 7)]))
+    hot = np.sort(base[::3])
+    gid = np.array([jaccard._digest(np.append(jaccard.prefix(s, hot), np.uint64(len(s))), 2) for s in sets]).view(np.int64)
+    want = [[100 * len(x := set(a.tolist()) & set(b.tolist())) >= 75 * (len(a) + len(b) - len(x)) for b in sets] for a in sets]
+    assert (jaccard._similar(sets, gid, sets, gid, hot, 75) == np.array(want)).all()
+    one = jaccard._similar(sets[:1], gid[:1], sets, gid, hot, 75)  # few candidates: pairs one by one
+    assert (one == np.array(want)[:1]).all()
+
+
 def test_word_hashes_of_long_texts_do_not_depend_on_chunks(monkeypatch):
     text = (" ".join(f"word{i}" for i in range(5000)) + " " + "x" * 3000).encode()
     whole = shingles.word_hashes(text)

@@ -11,7 +11,9 @@ sets.  Key groups of many documents are first tied to one leader each; what is
 in one component then needs no further comparison to know the components.
 
 The links themselves are counted after that: both ends of a link are in one
-component, so all pairs of distinct sets inside each component are compared.
+component, so the groups inside each component are joined once more by their
+prefixes, in blocks of bounded size, and the members of the pairs of groups that
+are left are verified.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ HOT_SHINGLES = 1_000_000
 SMALL_KEY = 32
 #: Shingles that one task compares with each other (or with as many others).
 LINK_SHINGLES = 400_000
+#: Sets that one task compares with each other (or with as many others).
+LINK_NODES = 2_048
 
 
 def _least(n: int, percent: int) -> int:
@@ -207,42 +211,72 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
-def _similar(sets: list[np.ndarray], others: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which of ``sets`` (rows) are similar enough to which of ``others``: the
-    shingles of both sides are multiplied as 0/1 matrices, some columns at a time."""
-    n, m = (np.array([len(x) for x in side], dtype=np.int64) for side in (sets, others))
+def _common(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """How many values each of ``sets`` (rows) shares with each of ``others``:
+    both sides are multiplied as 0/1 matrices, some columns at a time."""
+    n, m = len(sets), len(others)
     found, at, times = np.unique(np.concatenate([*sets, *others]), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(n) + len(m)), np.concatenate([n, m]))
-    at, row = at[times[at] > 1], row[times[at] > 1]  # a shingle in one set only is common to none
+    row = np.repeat(np.arange(n + m), [len(x) for x in (*sets, *others)])
+    at, row = at[times[at] > 1], row[times[at] > 1]  # a value in one set only is common to none
     order = np.argsort(at, kind="stable")
     at, row = at[order], row[order]
     at = np.cumsum(np.diff(at, prepend=at[:1]) > 0)
-    both, wide = np.zeros((len(n), len(m)), dtype=np.int64), 4096
+    both, wide = np.zeros((n, m), dtype=np.int64), 2048
     for start in range(0, int(at[-1]) + 1 if len(at) else 0, wide):
         a, b = np.searchsorted(at, (start, start + wide))
-        hold = np.zeros((len(n) + len(m), wide), dtype=np.float32)
+        hold = np.zeros((n + m, wide), dtype=np.float32)
         hold[row[a:b], at[a:b] - start] = 1
-        both += (hold[:len(n)] @ hold[len(n):].T).astype(np.int64)
-    return 100 * both >= percent * (n[:, None] + m[None, :] - both)
-
-
-def _linked_nodes(owned: DataFrame, sets: DataFrame, percent: int, pairs: bool = False) -> DataFrame:
-    """node, n_links: rows of other nodes that each node of ``owned`` (node, n,
-    copies, component) links with; with ``pairs``, the links a < b themselves.
-
-    Every pair of nodes inside a component is compared.  A component of many
-    shingles is dealt into chunks by a hash of the node, and each two chunks are
-    one group; small components share groups.  ``sets`` holds every node that
-    has a link."""
+        both += (hold[:n] @ hold[n:].T).astype(np.int64)
+    return both
+
+
+def _similar(sets: list[np.ndarray], gids: np.ndarray, others: list[np.ndarray], other_gids: np.ndarray,
+             hot: np.ndarray, percent: int) -> np.ndarray:
+    """Which of ``sets`` (rows) are similar enough to which of ``others``, as a
+    grouped prefix join: sets of one gid are one group; pairs of groups go on
+    if their sizes and their shared prefix shingles allow it; those are expanded
+    into members, whose whole sets decide."""
+    sides = []
+    for own, gid in ((sets, gids), (others, other_gids)):
+        _, first, of = np.unique(gid, return_index=True, return_inverse=True)
+        sides.append((np.array([len(own[i]) for i in first], np.int64), [prefix(own[i], hot, percent) for i in first], of))
+    (n, prefixes, of), (m, other_prefixes, other_of) = sides
+    n, m = n[:, None], m[None, :]
+    least = (percent * (n + m) + 99 + percent) // (100 + percent)
+    needed = np.maximum(1, least + 1 - np.maximum((percent * n + 99) // 100, (percent * m + 99) // 100))
+    may = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (_common(prefixes, other_prefixes) >= needed)
+    may = may[np.ix_(of, other_of)]
+    i, j = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+    out = np.zeros(may.shape, dtype=bool)
+    if 64 * int(may.sum()) < len(i) * len(j):  # few members: one by one
+        for x, y in zip(*np.nonzero(may)):
+            both = len(np.intersect1d(sets[x], others[y], assume_unique=True))
+            out[x, y] = 100 * both >= percent * (len(sets[x]) + len(others[y]) - both)
+    elif len(i):
+        both = _common([sets[x] for x in i], [others[y] for y in j])
+        whole = np.array([len(sets[x]) for x in i])[:, None] + np.array([len(others[y]) for y in j])[None, :] - both
+        out[np.ix_(i, j)] = may[np.ix_(i, j)] & (100 * both >= percent * whole)
+    return out
+
+
+def _linked_nodes(owned: DataFrame, sets: DataFrame, hot, percent: int, pairs: bool = False) -> DataFrame:
+    """node, n_links: rows of other nodes that each node of ``owned`` (node, gid,
+    n, copies, component) links with; with ``pairs``, the links a < b themselves.
+
+    Both ends of a link are in one component: the nodes of each are joined by
+    their groups' prefixes (``_similar``).  A component of many shingles or nodes
+    is dealt into chunks by a hash of the node, and each two chunks are one task's
+    work; small components share tasks.  ``sets`` holds every node that has a
+    link."""
     whole = owned.groupBy("component").agg(F.count("*").alias("k"), F.sum("n").alias("total")).filter("k > 1")
-    chunks = F.ceil(F.col("total") / LINK_SHINGLES).cast("int")
+    chunks = F.ceil(F.greatest(F.col("total") / LINK_SHINGLES, F.col("k") / LINK_NODES)).cast("int")
     whole = whole.withColumn("chunks", F.least(chunks, F.col("k").cast("int")))
-    small = whole.filter("chunks = 1").agg(F.sum("total")).first()[0] or 0
+    small = whole.filter("chunks = 1").agg(F.sum(F.greatest("total", F.col("k") * F.col("k")))).first()[0] or 0
     buckets = max(1, -(-small // LINK_SHINGLES))
     own = F.when(F.col("chunks") > 1, F.pmod(F.xxhash64("node"), F.col("chunks"))).otherwise(0).cast("int")
-    dealt = (sets.join(owned.select("node", "copies", "component"), "node").join(whole.drop("k", "total"), "component")
+    dealt = (sets.join(owned.select("node", "gid", "copies", "component"), "node").join(whole.drop("k", "total"), "component")
              .withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("node", "copies", "component", "own", "set", F.least("own", "other").alias("low"),
+             .select("node", "gid", "copies", "component", "own", "set", F.least("own", "other").alias("low"),
                      F.greatest("own", "other").alias("high"),
                      F.when(F.col("chunks") > 1, F.col("component"))
                      .otherwise(F.pmod(F.xxhash64("component"), F.lit(buckets))).alias("bucket"),
@@ -250,18 +284,20 @@ def _linked_nodes(owned: DataFrame, sets: DataFrame, percent: int, pairs: bool =
 
     def count(group: pa.Table) -> pa.Table:
         by: dict[int, dict] = {}
-        for node, copies, component, own, data, low in zip(*(group.column(c).to_pylist() for c in (
-                "node", "copies", "component", "own", "set", "low"))):
+        for node, gid, copies, component, own, data, low in zip(*(group.column(c).to_pylist() for c in (
+                "node", "gid", "copies", "component", "own", "set", "low"))):
             # a node may come twice (see _sets)
-            by.setdefault(component, {})[node] = copies, own == low, np.frombuffer(data, np.uint64)
+            by.setdefault(component, {})[node] = gid, copies, own == low, np.frombuffer(data, np.uint64)
         across = group.column("low")[0].as_py() != group.column("high")[0].as_py()
         a, b, n = [], [], []
         for members in by.values():
-            left = [x for x, (_, first, _) in members.items() if first]
-            right = [x for x, (_, first, _) in members.items() if not first] if across else left
+            left = [x for x, (_, _, first, _) in members.items() if first]
+            right = [x for x, (_, _, first, _) in members.items() if not first] if across else left
             if not left or not right:
                 continue
-            near = _similar([members[x][2] for x in left], [members[x][2] for x in right], percent)
+            gids = [np.array([members[x][0] for x in side], np.int64) for side in (left, right)]
+            near = _similar([members[x][3] for x in left], gids[0], [members[x][3] for x in right], gids[1],
+                            hot.value, percent)
             if not across:
                 np.fill_diagonal(near, False)
             left, right = np.array(left, np.int64), np.array(right, np.int64)
@@ -270,7 +306,7 @@ def _linked_nodes(owned: DataFrame, sets: DataFrame, percent: int, pairs: bool =
                 a.append(np.minimum(left[i], right[j]))
                 b.append(np.maximum(left[i], right[j]))
                 continue
-            weight = [np.array([members[x][0] for x in side.tolist()], np.int64) for side in (left, right)]
+            weight = [np.array([members[x][1] for x in side.tolist()], np.int64) for side in (left, right)]
             a.append(left)
             n.append(near @ weight[1])
             if across:
@@ -415,11 +451,11 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
             links = links.unionByName(_verified(rest, nodes, sets, percent))
         # components of nodes, then of documents
         whole = components(links).withColumnRenamed("a", "node")
-        owned = nodes.join(whole, "node", "left").select("node", "n", "rep", "copies", F.coalesce("component", "node").alias("component"))
+        owned = nodes.join(whole, "node", "left").select("node", "gid", "n", "rep", "copies", F.coalesce("component", "node").alias("component"))
         between = None
         if want:
             owned = stored(owned, "owned")
-            between = stored(_linked_nodes(owned, spark.table(sets).select("node", "set"), percent, want == "pairs"), "between")
+            between = stored(_linked_nodes(owned, spark.table(sets).select("node", "set"), hot, percent, want == "pairs"), "between")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {sets}")
     smallest = owned.groupBy("component").agg(F.min("rep").alias("component_id"))
