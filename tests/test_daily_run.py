@@ -172,3 +172,49 @@ def test_run_all_on_driver_standins(spark, tmp_path):
     vals = [r["sgi"] for r in sgi.collect() if r["sgi"] is not None]
     assert sgi.select("region_code").distinct().count() == 5
     assert min(vals) == 0.0 and max(vals) == 100.0
+
+
+def test_files_and_pages_are_read_once(spark, tmp_path, monkeypatch):
+    """One scan for a set's file heads and one parse of its pages, whatever reads
+    them: the rows, the accounting and the rejects."""
+    import json
+    from urbanpulse.plans import daily_run as DR
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    _raw(raw)
+    os.makedirs(f"{raw}/pages/real_estate/period=2025")
+    row = dict.fromkeys(REAL_ESTATE_API_COLUMNS, "") | {"STDG_CD": "D1", "CGG_CD": "G", "RCPT_YR": "2025", "CTRT_DAY": "20250610",
+                                                        "THING_AMT": "7", "ARCH_AREA": "1"}
+    page = json.dumps({DR.SERVICES["real_estate"]: {"list_total_count": 2, "row": [row, row]}})
+    with open(f"{raw}/pages/real_estate/period=2025/1_1000.json", "w") as f:
+        f.write(page + "\n" + page[:40] + "\n")
+    read, calls = (DR.CSV.file_heads, DR.PG.read_page_log), []
+    monkeypatch.setattr(DR.CSV, "file_heads", lambda s, paths: calls.append(paths[0].rsplit("/", 1)[-1]) or read[0](s, paths))
+    monkeypatch.setattr(DR.PG, "read_page_log", lambda *a, **k: calls.append("pages") or read[1](*a, **k))
+    codes = spark.createDataFrame([("real_estate", "G-D1", "R1")], "source string, code string, region_code string")
+    outs = run_all(spark, raw, out, codes)
+    assert sorted(calls) == ["pages", "population", "real_estate", "rent", "sales"]
+    deals = spark.read.parquet(outs["processed/real_estate"])
+    assert deals.where("YEAR = 2025").count() == 1  # the same row twice counts once
+    pages = rows(spark.read.option("header", True).csv(outs["load_pages"]), "period", "announced", "n_pages", "n_malformed")
+    assert pages == [("2025", "2", "2", "1")]
+    assert rows(spark.read.parquet(outs["load_rejects"]).where("reason = 'malformed_page'"), "first_field", "raw") == [("2025", page[:40])]
+
+
+def test_number_text_keeps_both_rules(spark):
+    """Numbers that need no trimming take the short way, with the result of the
+    long one; the text of a strict number reads as the same number."""
+    from urbanpulse.functions import numeric as N
+    from urbanpulse.functions.strings import clean_str, strip_ws
+    from urbanpulse.plans.daily_run import _number_text
+    texts = ["1", "1,234.50", "-1,2", "+5", " 7 ", "7\n", "﻿8", "1,,2,", ",1", "1.", ".5", "1.5,0", "-", "", None, "N/A", "1e3", "1d", "0x1p3",
+             "NaN", "Infinity", "9" * 300, "9" * 310, "-" + "9" * 400, "1 2", "１２", "　 3,0", "- 1", "--1", "1.2.3", "0012.50", "-0"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    s = F.replace(clean_str("t"), F.lit(","), F.lit(""))
+    strict = F.when(s.rlike(N.STRICT_NUMBER), s.try_cast("double"))
+    z = strip_ws(F.replace("t", F.lit(","), F.lit("")))
+    lenient = lambda z: F.when(z.rlike(N.LENIENT_NUMBER), z.try_cast("double"))
+    out = df.select("t", N.parse_strict("t").alias("a"), strict.alias("b"), N.parse_lenient("t").alias("c"), lenient(z).alias("d"),
+                    _number_text(F.col("t")).alias("x"), strict.cast("string").alias("y"))
+    out = out.withColumns({"e": N.parse_lenient("x"), "f": N.parse_lenient("y")})
+    got = rows(out, "t", "a", "b", "c", "d", "e", "f")
+    assert [r for r in got if not (str(r[1]) == str(r[2]) and str(r[3]) == str(r[4]) and str(r[5]) == str(r[6]))] == []
