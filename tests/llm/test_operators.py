@@ -160,6 +160,54 @@ def test_jaccard_join_counts_every_link(spark, clashing, empty, monkeypatch):
     assert jaccard.jaccard_join(empty).count() == 0
 
 
+def test_jaccard_makes_few_sets_of_unlike_texts(spark, monkeypatch):
+    rows = []
+    for k in range(20):  # half of one is in the other: they share prefix shingles, but don't link
+        w = [f"w{k}_{i}" for i in range(84)]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w[:44] + [f"v{k}_{i}" for i in range(20)]))]
+    for k in range(3):
+        w = [f"c{k}_{i}" for i in range(84)]
+        rows += [(100 + 2 * k, " ".join(w)), (101 + 2 * k, " ".join([*w[:80], f"e{k}"]))]
+    made, sets = [], jaccard._sets
+
+    def counted(*args):
+        name = sets(*args)
+        made.append({r["doc_id"] for r in spark.table(name).collect()})
+        return name
+
+    monkeypatch.setattr(jaccard, "_sets", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert table_of(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id") == Counter(brute.jaccard(rows))
+    made = set().union(*made)
+    assert made >= set(range(100, 106)) and len(made) < 26  # all 46 without the signatures
+
+
+def test_signatures_refuse_no_link():
+    rng = np.random.default_rng(8)
+    refused = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 300))
+        pool = np.unique(rng.integers(1, 2**63, 2 * n, dtype=np.uint64))
+        a, both = pool[:n], pool[:int(rng.integers(0, n + 1))]
+        b = np.union1d(both, pool[n:n + int(rng.integers(0 if len(both) else 1, n // 2 + 2))])
+        link = 100 * len(both) >= 75 * (len(a) + len(b) - len(both))
+        for x, y in ((a, b), (b, a)):
+            may = jaccard.may_link(jaccard.signature(x), jaccard.signature(y), len(x), len(y))
+            assert may or not link
+        refused += not may
+    assert refused > 1500
+
+
+def test_bitmaps_keep_every_needed_text(spark, monkeypatch):
+    docs = spark.range(-3000, 3000).selectExpr("id as doc_id", "cast(id as string) as text")
+    need = docs.filter("doc_id % 30 = 0").selectExpr("doc_id as node", "doc_id")
+    found = jaccard._among(docs, need)
+    assert found.columns == docs.columns
+    rows = [r["doc_id"] for r in found.collect()]
+    assert len(set(rows)) == len(rows) < 400 and {r["doc_id"] for r in need.collect()} <= set(rows)
+    assert jaccard._among(docs, need.limit(0)).count() == 0
+
+
 def test_similar_as_grouped_prefix_join(monkeypatch):
     rng = np.random.default_rng(4)
     base = np.unique(rng.integers(1, 2**63, 80, dtype=np.uint64))

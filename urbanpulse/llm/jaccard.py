@@ -6,8 +6,9 @@ a Jaccard similarity of t or more share a shingle among their first
 n - ceil(t n) + 1.  Documents with the same number of shingles and the same
 prefix are one group; prefixes are joined group by group, pairs of groups are
 filtered by size and by the greatest overlap that their shared prefix shingles
-leave possible, and the rest is expanded into members and verified on the whole
-sets.  Key groups of many documents are first tied to one leader each; what is
+leave possible, and the rest is expanded into members.  Pairs of these go on if
+their signatures, a bit or two for each shingle, leave the similarity possible, and are
+verified on the whole sets.  Key groups of many documents are first tied to one leader each; what is
 in one component then needs no further comparison to know the components.
 
 The links themselves are counted after that: both ends of a link are in one
@@ -37,6 +38,8 @@ HOT_LOCAL = 4
 HOT_SHINGLES = 1_000_000
 #: A key that more groups share is tied to a leader before its pairs are listed.
 SMALL_KEY = 32
+#: Bitmaps of 4 KB that tell which texts are needed, at most: 64 million bits.
+NEED_MAPS = 2_048
 #: Shingles that one task compares with each other (or with as many others).
 LINK_SHINGLES = 400_000
 #: Sets that one task compares with each other (or with as many others).
@@ -65,6 +68,28 @@ def prefix(hashes: np.ndarray, hot: np.ndarray, percent: int = PERCENT) -> np.nd
     return hashes[:len(hashes) - _least(len(hashes), percent) + 1]
 
 
+def signature(hashes: np.ndarray) -> bytes:
+    """Parities: bit i is set if an odd number of the hashes end in i.  There
+    are as many bits as hashes, up to the next power of two."""
+    width = max(64, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(width - 1)).view(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def may_link(x: bytes, y: bytes, n: int, m: int, percent: int = PERCENT) -> bool:
+    """Whether sets of n and m hashes with these signatures can be similar
+    enough: what both hold cancels out, so that every bit in which they differ,
+    the longer one folded to the other's width, is a hash that one set has alone."""
+    if len(x) < len(y):
+        x, y = y, x
+    a, bits = int.from_bytes(x, "little"), 8 * len(x)
+    while bits > 8 * len(y):
+        bits //= 2
+        a = (a >> bits) ^ (a & ((1 << bits) - 1))
+    most = (n + m - (a ^ int.from_bytes(y, "little")).bit_count()) // 2
+    return (100 + percent) * most >= percent * (n + m)
+
+
 def hot_shingles(docs: DataFrame, size: int = SHINGLE, most: int = HOT_MOST) -> np.ndarray:
     """The ``most`` most frequent of the shingles that are frequent somewhere:
     every task counts all its shingles, in runs of about HOT_SHINGLES, and
@@ -96,22 +121,24 @@ def hot_shingles(docs: DataFrame, size: int = SHINGLE, most: int = HOT_MOST) ->
 
 def _digests(docs: DataFrame, hot, size: int, percent: int) -> DataFrame:
     """Stored doc_id, n, node (digest of the set), gid (digest of size and
-    prefix) of every row; n 0 has no node."""
+    prefix), sig (signature) of every row; n 0 has none of the last three."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                n, node, gid = [], [], []
+                n, node, gid, sig = [], [], [], []
                 for data in encoded(part):
                     s = shingle_set(data, size)
                     n.append(len(s))
                     node.append(int(_digest(s, 1).view(np.int64)) if len(s) else None)
                     gid.append(int(_digest(np.append(prefix(s, hot.value, percent), np.uint64(len(s))), 2).view(np.int64))
                                if len(s) else None)
+                    sig.append(signature(s) if len(s) else None)
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n": pa.array(n, pa.int64()),
-                                                  "node": pa.array(node, pa.int64()), "gid": pa.array(gid, pa.int64())})
+                                                  "node": pa.array(node, pa.int64()), "gid": pa.array(gid, pa.int64()),
+                                                  "sig": pa.array(sig, pa.binary())})
 
-    return stored(docs.mapInArrow(run, "doc_id long, n long, node long, gid long"), "digests")
+    return stored(docs.mapInArrow(run, "doc_id long, n long, node long, gid long, sig binary"), "digests")
 
 
 def _entries(docs: DataFrame, hot, size: int, percent: int) -> DataFrame:
@@ -154,13 +181,44 @@ def _needed(percent: int) -> str:
                  - greatest(({percent} * n_a + 99) div 100, ({percent} * n_b + 99) div 100))"""
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, need: DataFrame, size: int) -> str:
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Stored a, b, doc_id_a, doc_id_b (documents with these sets): the ``pairs``
+    of nodes whose signatures leave the similarity possible."""
+
+    def check(batches):
+        for batch in batches:
+            keep = [may_link(*row, percent) for row in zip(*(batch.column(c).to_pylist() for c in ("sig_a", "sig_b", "n_a", "n_b")))]
+            yield batch.select(["a", "b", "doc_id_a", "doc_id_b"]).filter(pa.array(keep, pa.bool_()))
+
+    for x in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(x), F.col("rep").alias(f"doc_id_{x}"), F.col("n").alias(f"n_{x}"),
+                                        F.col("sig").alias(f"sig_{x}")), x)
+    return stored(pairs.select("a", "b", "doc_id_a", "doc_id_b", "n_a", "n_b", "sig_a", "sig_b")
+                       .mapInArrow(check, "a long, b long, doc_id_a long, doc_id_b long"), "possible")
+
+
+def _among(docs: DataFrame, need: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is in ``need``, and some others: ids are
+    looked up by a hash in bitmaps of about 128 bits an id, NEED_MAPS at most, so
+    that a join with ``need`` moves few texts that it then drops."""
+    bits = 32_768  # of one bitmap
+    maps = min(NEED_MAPS, need.count() * 128 // bits + 1)
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(maps * bits)) + 1  # Spark's bitmaps count from 1
+    known = (need.groupBy(F.bitmap_bucket_number(bit).alias("__at"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("__map")))
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("__map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = docs.withColumn("__at", F.bitmap_bucket_number(bit)).join(F.broadcast(known), "__at")
+    return found.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(docs.columns)
+
+
+def _sets(docs: DataFrame, need: DataFrame, size: int) -> str:
     """Name of a table doc_id, node, set (sorted hashes): whole sets of the
-    needed nodes, made again from the texts of their first documents.  It is
-    bucketed by doc_id, as the join that makes it deals it out, so that the
-    joins of every round leave it where it is; its caller drops it.  (A node may
-    stand in it twice, if a row is repeated.)"""
-    need = need.select("node").distinct().join(nodes, "node").select("node", F.col("rep").alias("doc_id"))
+    needed nodes (node, doc_id), made again from the texts of these documents.
+    It is bucketed by doc_id, as the join that makes it deals it out, so that
+    the joins of its reader leave it where it is; its caller drops it.  (A node
+    may stand in it twice, if a row is repeated.)"""
+    need = stored(need, "need")
 
     def sets(batches):
         for batch in batches:
@@ -173,17 +231,20 @@ def _sets(docs: DataFrame, nodes: DataFrame, need: DataFrame, size: int) -> str:
                                                   "set": pa.array(out, pa.binary())})
 
     name, buckets = scratch_table(docs.sparkSession, "sets"), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (docs.join(need, "doc_id").select("doc_id", "node", "text").mapInArrow(sets, "doc_id long, node long, set binary")
+    (_among(docs, need).join(need.hint("merge"), "doc_id").select("doc_id", "node", "text").mapInArrow(sets, "doc_id long, node long, set binary")
      .filter("set is not null").write.bucketBy(buckets, "doc_id").sortBy("doc_id").saveAsTable(name))
     release(docs.sparkSession)
     return name
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: str, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """Stored links a, b: the ``pairs`` of nodes whose whole sets are similar
-    enough.  The joins are by doc_id, the sets' bucket; two nodes may share one
-    (an id with two texts), so the node is compared with the set's below."""
-    sets = pairs.sparkSession.table(sets)
+    enough.  Sets are made of those only whose signatures leave it possible.
+    The joins are by doc_id, the sets' bucket; two nodes may share one (an id
+    with two texts), so the node is compared with the set's below."""
+    pairs = _possible(pairs, nodes, percent)
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
 
     def check(batches):
         for batch in batches:
@@ -197,14 +258,19 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: str, percent: int) -> Da
                     keep.append(same and 100 * both >= percent * (len(x) + len(y) - both))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    need = (pairs.select(F.col("a").alias("node"), F.col("doc_id_a").alias("doc_id"))
+            .union(pairs.select("b", "doc_id_b")).distinct())
+    name = _sets(docs, need, size)
+    sets = pairs.sparkSession.table(name)
+
     def side(x: str) -> DataFrame:
         return sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "node", "set")])
 
-    for x in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(x), F.col("rep").alias(f"doc_id_{x}")), x)
-    with_sets = pairs.join(side("a"), "doc_id_a").join(side("b"), "doc_id_b")
-    return stored(with_sets.select("a", "b", "node_a", "node_b", "set_a", "set_b")
-                       .mapInArrow(check, "a long, b long"), "verified")
+    try:
+        return stored(pairs.join(side("a"), "doc_id_a").join(side("b"), "doc_id_b")
+                           .select("a", "b", "node_a", "node_b", "set_a", "set_b").mapInArrow(check, "a long, b long"), "verified")
+    finally:
+        pairs.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -356,7 +422,7 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
     hot = spark.sparkContext.broadcast(hot_shingles(with_id, size))
     digests = _digests(docs, hot, size, percent)
     known = digests.filter("n > 0 and doc_id is not null")
-    nodes = stored(known.groupBy("node", "gid", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "nodes")
+    nodes = stored(known.groupBy("node", "gid", "n", "sig").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "nodes")
     groups = nodes.groupBy("gid", "n").agg(F.min("rep").alias("rep"), F.min_by("node", "rep").alias("leader"),
                                            F.count("*").alias("members"))
 
@@ -418,46 +484,45 @@ def _joined(docs: DataFrame, size: int, percent: int, want: str = "") -> tuple[D
         .unionByName(groups.filter("members > 1").join(member, "gid")
                      .select(F.col("leader").alias("a"), F.col("node").alias("b"))))
     first = stored(first, "first")
-    sets = _sets(with_id, nodes, first.select(F.col("a").alias("node")).unionByName(first.select(F.col("b").alias("node")))
-                 .unionByName(large.select("gid").distinct().join(member, "gid").select("node")), size)
-    try:
-        links, tried = _verified(first, nodes, sets, percent), first
-
-        def parts() -> DataFrame:
-            return stored(nodes.join(components(links).withColumnRenamed("a", "node"), "node", "left")
-                               .select("node", "gid", "n", F.coalesce("component", "node").alias("part")), "parts")
-
-        # what large keys still hold apart is tied to a second leader, outside the
-        # key's largest part
+    links, tried = _verified(first, with_id, nodes, size, percent), first
+
+    def parts() -> DataFrame:
+        return stored(nodes.join(components(links).withColumnRenamed("a", "node"), "node", "left")
+                           .select("node", "gid", "n", F.coalesce("component", "node").alias("part")), "parts")
+
+    # what large keys still hold apart is tied to a second leader, outside the
+    # key's largest part
+    part = parts()
+    second = stored(_second_leaders(large.select("key", "gid", "weight").join(part, "gid"), percent)
+                         .join(tried, ["a", "b"], "left_anti"), "second")
+    if not second.isEmpty():
+        links, tried = links.unionByName(_verified(second, with_id, nodes, size, percent)), tried.unionByName(second)
         part = parts()
-        second = stored(_second_leaders(large.select("key", "gid", "weight").join(part, "gid"), percent)
-                             .join(tried, ["a", "b"], "left_anti"), "second")
-        if not second.isEmpty():
-            links, tried = links.unionByName(_verified(second, nodes, sets, percent)), tried.unionByName(second)
-            part = parts()
-
-        # the rest: pairs whose ends are still in different components
-        mixed = groups.filter("members > 1").select("gid").join(part, "gid")
-        of_gid = _different(mixed.select(F.col("gid").alias("key"), "node", "n", "part", F.col("n").alias("rank")), percent).select("a", "b")
-        of_pairs = (group_pairs.unionByName(perhaps).distinct()
-                    .join(part.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("part").alias("part_a")), "gid_a")
-                    .join(part.select(F.col("gid").alias("gid_b"), F.col("node").alias("b"), F.col("part").alias("part_b")), "gid_b")
-                    .filter("part_a <> part_b").select("a", "b"))
-        of_large = _different(large.select("key", "gid", "rank").join(part, "gid").select("key", "node", "n", "part", "rank"),
-                              percent).select("a", "b")
-        rest = stored(_ordered(of_gid.unionByName(of_pairs).unionByName(of_large)).join(tried, ["a", "b"], "left_anti"),
-                           "rest")
-        if not rest.isEmpty():
-            links = links.unionByName(_verified(rest, nodes, sets, percent))
-        # components of nodes, then of documents
-        whole = components(links).withColumnRenamed("a", "node")
-        owned = nodes.join(whole, "node", "left").select("node", "gid", "n", "rep", "copies", F.coalesce("component", "node").alias("component"))
-        between = None
-        if want:
-            owned = stored(owned, "owned")
+
+    # the rest: pairs whose ends are still in different components
+    mixed = groups.filter("members > 1").select("gid").join(part, "gid")
+    of_gid = _different(mixed.select(F.col("gid").alias("key"), "node", "n", "part", F.col("n").alias("rank")), percent).select("a", "b")
+    of_pairs = (group_pairs.unionByName(perhaps).distinct()
+                .join(part.select(F.col("gid").alias("gid_a"), F.col("node").alias("a"), F.col("part").alias("part_a")), "gid_a")
+                .join(part.select(F.col("gid").alias("gid_b"), F.col("node").alias("b"), F.col("part").alias("part_b")), "gid_b")
+                .filter("part_a <> part_b").select("a", "b"))
+    of_large = _different(large.select("key", "gid", "rank").join(part, "gid").select("key", "node", "n", "part", "rank"),
+                          percent).select("a", "b")
+    rest = stored(_ordered(of_gid.unionByName(of_pairs).unionByName(of_large)).join(tried, ["a", "b"], "left_anti"),
+                       "rest")
+    if not rest.isEmpty():
+        links = links.unionByName(_verified(rest, with_id, nodes, size, percent))
+    # components of nodes, then of documents
+    whole = components(links).withColumnRenamed("a", "node")
+    owned = nodes.join(whole, "node", "left").select("node", "gid", "n", "rep", "copies", F.coalesce("component", "node").alias("component"))
+    between = None
+    if want:
+        owned = stored(owned, "owned")
+        sets = _sets(with_id, nodes.join(whole, "node").select("node", F.col("rep").alias("doc_id")), size)
+        try:
             between = stored(_linked_nodes(owned, spark.table(sets).select("node", "set"), hot, percent, want == "pairs"), "between")
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {sets}")
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {sets}")
     smallest = owned.groupBy("component").agg(F.min("rep").alias("component_id"))
     label = owned.join(smallest, "component").select("node", "component_id", "copies")
     if want == "count":
