@@ -179,7 +179,7 @@ def test_jaccard_makes_few_sets_of_unlike_texts(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert table_of(jaccard.jaccard_components(docs), "doc_id", "n_shingles", "component_id") == Counter(brute.jaccard(rows))
     made = set().union(*made)
-    assert made >= set(range(100, 106)) and len(made) < 26  # all 46 without the signatures
+    assert made >= set(range(100, 106)) and len(made) < 26
 
 
 def test_signatures_refuse_no_link():
