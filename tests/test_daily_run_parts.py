@@ -1,0 +1,113 @@
+"""The daily run's room on disk: raw files landed compressed, sets worked off in
+parts, and the same rows as in one piece."""
+
+import datetime
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import rows
+from test_daily_run import _raw, _write
+from urbanpulse.plans import arrivals as AR
+from urbanpulse.plans import daily_run as DR
+from urbanpulse.plans import standins as SI
+from urbanpulse.schemas import LAYOUTS, REAL_ESTATE_API_COLUMNS, REAL_ESTATE_RENAME, SERVICES
+from urbanpulse.sources import csv as CSV
+from urbanpulse.sources import json_pages as JP
+from urbanpulse.sources import pages as PG
+from urbanpulse.sources import sinks as SK
+
+
+def _tables(spark, root):
+    """A lineitem and an orders table; some dates and amounts are null, some rows come twice."""
+    day = lambda i: datetime.datetime(1994 + i % 4, 1 + i % 12, 1 + i % 28)
+    lines = [(i // 3, i % 11, i % 5, i % 3 + 1, float(i % 50), 1000.0 + i if i % 13 else None, 0.05, 0.02, "NAR"[i % 3], "OF"[i % 2],
+              day(i) if i % 17 else None) for i in range(300)]
+    spark.createDataFrame(lines + lines[:20], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                          "l_shipdate timestamp").repartition(3).write.parquet(f"{root}/lineitem.parquet")
+    spark.createDataFrame([(i, i % 30, "OFP"[i % 3], 10.5 * i, day(i), "5-LOW" if i % 2 else "2-HIGH") for i in range(100)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+                          "o_orderpriority string").write.parquet(f"{root}/orders.parquet")
+
+
+def test_raw_files_are_landed_compressed(spark, tmp_path):
+    d, raw = str(tmp_path), str(tmp_path / "raw")
+    _tables(spark, d)
+    AR._land_raw(spark, d, raw)
+    landed = [f for _, _, files in os.walk(raw) for f in files if f.startswith("part-")]
+    assert len(landed) >= 5 and all(f.endswith(".gz") for f in landed)
+    # the same rows as before they were landed: history and pages together
+    heads = CSV.file_heads(spark, [f"{raw}/real_estate"])
+    history = DR.read_history(CSV.read_by_header(spark, [f"{raw}/real_estate"], with_file=True, heads=heads), "real_estate")
+    log = PG.read_page_log(spark, f"{raw}/pages/real_estate", SERVICES["real_estate"], DR.all_string_schema(LAYOUTS["real_estate_api"]))
+    both = lambda df: sorted(map(str, rows(df, *REAL_ESTATE_API_COLUMNS)))
+    assert both(history.select(*REAL_ESTATE_API_COLUMNS).unionByName(PG.page_rows(log))) == both(SI.deals_raw(spark, d))
+    found = {r["period"]: (r["announced"], r["received"], r["status"]) for r in PG.reconcile_pages(log).collect()}
+    years = {r[0]: r[1] for r in SI.deals_raw(spark, d).filter("int(RCPT_YR) > 1995").groupBy("RCPT_YR").count().collect()}
+    assert {p: v[0] for p, v in found.items()} == years
+
+
+def test_pages_hold_computed_fields(spark, tmp_path):
+    df = spark.range(45).select("id", (F.col("id") % 2).cast("string").alias("p"))
+    text = F.concat(F.lit("no. "), F.col("id").cast("string")).alias("text")
+    JP.write_period_pages(df.repartition(3), str(tmp_path / "p"), "svc", F.col("p"), page_size=7, fields=[text, F.col("p")], compression="gzip")
+    got = spark.read.schema("svc struct<list_total_count: long, row: array<struct<text: string, p: string>>>").json(str(tmp_path / "p"))
+    assert sorted(rows(got.select("svc.list_total_count", F.inline("svc.row")))) == sorted(
+        (23 if i % 2 == 0 else 22, f"no. {i}", str(i % 2)) for i in range(45))
+    assert max(r[0] for r in rows(got, F.size("svc.row"))) <= 7
+
+
+def test_partitions_of_all_parts_replace_the_old_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    make = lambda *r: spark.createDataFrame(list(r), "a string, y int")
+    SK.write_parquet(make(("old", 1), ("old", 2), ("kept", 3), ("old", None)), path, ["y"])
+    SK.write_parquet_parts([make(("x", 1)), make(), make(("x", 1), ("y", 2)), make(("z", None), ("z", 4))], path, ["y"])
+    assert sorted(map(str, rows(spark.read.parquet(path), "a", "y"))) == sorted(
+        map(str, [("x", 1), ("x", 1), ("y", 2), ("kept", 3), ("z", None), ("z", 4)]))
+    assert not [x for x in os.listdir(path) if x.startswith(".parts")] and "_SUCCESS" in os.listdir(path)
+    SK.write_parquet_parts([make()], str(tmp_path / "none"), ["y"])
+    assert spark.read.schema("a string, y int").parquet(str(tmp_path / "none")).count() == 0
+
+
+def test_file_parts_are_the_whole(spark, tmp_path):
+    root = str(tmp_path / "files")
+    for i in range(5):
+        _write(f"{root}/f{i}.csv", [["a", "b"] if i % 2 else ["b", "c"], [f"{i}", "1"], [f"{i}", "2"]])
+    parts = CSV.read_by_header_parts(spark, [root], 3)
+    seen = [{r[0] for r in p.select("_file").distinct().collect()} for p in parts]
+    assert len(parts) == 3 and sum(map(len, seen)) == len(set().union(*seen)) == 5
+    whole = CSV.read_by_header(spark, [root], with_file=True)
+    full = lambda dfs: sorted(str(tuple(r)) for df in dfs for r in CSV.bind_by_name(df, ["a", "b", "c", "_file"]).collect())
+    assert full(parts) == full([whole])
+    assert len(CSV.read_by_header_parts(spark, [root], 9)) == 5
+
+
+def test_repeated_rows_of_files_and_pages_meet_in_one_part(spark, tmp_path, monkeypatch):
+    """A row landed in a file and twice in pages counts once, whatever its part;
+    the pages' accounting counts all of them; stored records go when they are done."""
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    _raw(raw)
+    inv = {v: k for k, v in REAL_ESTATE_RENAME.items()}  # a second file, with fewer columns
+    _write(f"{raw}/real_estate/more.csv", [[inv[c] for c in ("CTRT_DAY", "STDG_CD", "CGG_CD", "THING_AMT", "ARCH_AREA", "RCPT_YR")],
+                                           ["20230301", "D1", "G", "5", "1", " 2023"]])
+    row = lambda year, i: dict.fromkeys(REAL_ESTATE_API_COLUMNS, "x") | {
+        "STDG_CD": "D1", "CGG_CD": "G", "RCPT_YR": year, "CTRT_DAY": "20250610", "THING_AMT": str(i), "ARCH_AREA": "1"}
+    some = [row("2025", i) for i in range(40)]
+    _write(f"{raw}/api/real_estate/again.csv", [[r[c] for c in REAL_ESTATE_API_COLUMNS] for r in some[:10]], quote_all=True)
+    os.makedirs(f"{raw}/pages/real_estate/period=2025")
+    with open(f"{raw}/pages/real_estate/period=2025/1_1000.json", "w") as f:
+        for page in (some[:25], some[25:] + some[:5], [row("2023", 1)]):
+            f.write(json.dumps({SERVICES["real_estate"]: {"list_total_count": 40, "row": page}}) + "\n")
+    codes = spark.createDataFrame([("real_estate", "G-D1", "R1")], "source string, code string, region_code string")
+    paths, made = [], DR.scratch_path
+    monkeypatch.setattr(DR, "scratch_path", lambda s, name: paths.append(made(s, name)) or paths[-1])
+    outs = DR.run_all(spark, raw, out, codes)
+    deals = spark.read.parquet(outs["processed/real_estate"])
+    assert sorted(r[0] for r in rows(deals.where("YEAR = 2025"), "THING_AMT")) == [float(i) for i in range(40)]  # 2023 is held by the history
+    assert rows(deals.where("YEAR = 2023"), "THING_AMT") == [(5.0,)]
+    pages = rows(spark.read.option("header", True).csv(outs["load_pages"]), "period", "announced", "n_pages", "received")
+    assert pages == [("2025", "40", "3", "25")]  # one range: its fullest page
+    assert len(paths) == 1 and not [x for x in os.listdir(paths[0].replace("file:", "")) if x.startswith("part=") and x != f"part={DR.PARTS}"]
+    assert not [x for x in os.listdir(outs["processed/real_estate"]) if x.startswith(".parts")]
