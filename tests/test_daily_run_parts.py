@@ -5,6 +5,7 @@ import datetime
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -75,16 +76,18 @@ def test_file_parts_are_the_whole(spark, tmp_path):
     root = str(tmp_path / "files")
     for i in range(5):
         _write(f"{root}/f{i}.csv", [["a", "b"] if i % 2 else ["b", "c"], [f"{i}", "1"], [f"{i}", "2"]])
-    parts = CSV.read_by_header_parts(spark, [root], 3)
-    seen = [{r[0] for r in p.select("_file").distinct().collect()} for p in parts]
-    assert len(parts) == 3 and sum(map(len, seen)) == len(set().union(*seen)) == 5
     whole = CSV.read_by_header(spark, [root], with_file=True)
+    size = sum(os.path.getsize(f"{root}/{f}") for f in os.listdir(root))
     full = lambda dfs: sorted(str(tuple(r)) for df in dfs for r in CSV.bind_by_name(df, ["a", "b", "c", "_file"]).collect())
-    assert full(parts) == full([whole])
-    assert len(CSV.read_by_header_parts(spark, [root], 9)) == 5
+    for n, least, found in ((3, 1, 3), (9, 1, 5), (1, 1, 1), (9, 1 << 20, 1), (9, size // 2, 2)):
+        parts = CSV.read_by_header_parts(spark, [root], n, least=least)
+        seen = [{r[0] for r in p.select("_file").distinct().collect()} for p in parts]
+        assert len(parts) == found and sum(map(len, seen)) == len(set().union(*seen)) == 5
+        assert full(parts) == full([whole])
 
 
-def test_repeated_rows_of_files_and_pages_meet_in_one_part(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("least", [1, 1500, 1 << 20])
+def test_repeated_rows_of_files_and_pages_meet_in_one_part(spark, tmp_path, monkeypatch, least):
     """A row landed in a file and twice in pages counts once, whatever its part;
     the pages' accounting counts all of them; stored records go when they are done."""
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
@@ -101,12 +104,13 @@ def test_repeated_rows_of_files_and_pages_meet_in_one_part(spark, tmp_path, monk
         for page in (some[:25], some[25:] + some[:5], [row("2023", 1)]):
             f.write(json.dumps({SERVICES["real_estate"]: {"list_total_count": 40, "row": page}}) + "\n")
     codes = spark.createDataFrame([("real_estate", "G-D1", "R1")], "source string, code string, region_code string")
+    monkeypatch.setattr(DR, "PART_BYTES", least)
     paths, made = [], DR.scratch_path
     monkeypatch.setattr(DR, "scratch_path", lambda s, name: paths.append(made(s, name)) or paths[-1])
     outs = DR.run_all(spark, raw, out, codes)
     deals = spark.read.parquet(outs["processed/real_estate"])
     assert sorted(r[0] for r in rows(deals.where("YEAR = 2025"), "THING_AMT")) == [float(i) for i in range(40)]  # 2023 is held by the history
-    assert rows(deals.where("YEAR = 2023"), "THING_AMT") == [(5.0,)]
+    assert rows(deals.where("YEAR = 2023"), "THING_AMT") == [(5.0,)] and deals.where("YEAR = 2024").count() == 6
     pages = rows(spark.read.option("header", True).csv(outs["load_pages"]), "period", "announced", "n_pages", "received")
     assert pages == [("2025", "40", "3", "25")]  # one range: its fullest page
     assert len(paths) == 1 and not [x for x in os.listdir(paths[0].replace("file:", "")) if x.startswith("part=") and x != f"part={DR.PARTS}"]
