@@ -72,6 +72,19 @@ def test_partitions_of_all_parts_replace_the_old_ones(spark, tmp_path):
     assert spark.read.schema("a string, y int").parquet(str(tmp_path / "none")).count() == 0
 
 
+def test_regions_in_parts_of_codes(spark, monkeypatch):
+    df = spark.createDataFrame([(f"g{i % 4}" if i % 9 else None, f"c{i % 7}" if i % 5 else None, i) for i in range(80)], "g string, c string, i int")
+    monkeypatch.setattr(DR, "PARTS", 3)
+    codes = spark.createDataFrame([("s", f"g{i % 4}-c{i % 7}", f"R{i % 3}") for i in range(25)] + [("s", f"c{i}", "R") for i in range(5)]
+                                  + [("s", "c1", "Q"), ("other", "c6", "X"), ("s", None, "N")], "source string, code string, region_code string")
+    for code in ("c", ["g", "c"]):
+        want = DR.crosswalk(df, codes, "s", code).drop(*([code] if isinstance(code, str) else code))
+        for least, folders in ((1 << 20, 1), (1, 1 + DR.PARTS)):
+            monkeypatch.setattr(DR, "PART_BYTES", least)
+            got, paths = DR.crosswalk_stored(df, codes, "s", code)
+            assert sorted(map(str, rows(got, *want.columns))) == sorted(map(str, rows(want))) and len(paths) == folders
+
+
 def test_file_parts_are_the_whole(spark, tmp_path):
     root = str(tmp_path / "files")
     for i in range(5):
@@ -106,6 +119,7 @@ def test_repeated_rows_of_files_and_pages_meet_in_one_part(spark, tmp_path, monk
     codes = spark.createDataFrame([("real_estate", "G-D1", "R1")], "source string, code string, region_code string")
     monkeypatch.setattr(DR, "PART_BYTES", least)
     paths, made = [], DR.scratch_path
+    monkeypatch.setattr(DR, "PARTS", 3)
     monkeypatch.setattr(DR, "scratch_path", lambda s, name: paths.append(made(s, name)) or paths[-1])
     outs = DR.run_all(spark, raw, out, codes)
     deals = spark.read.parquet(outs["processed/real_estate"])
@@ -113,5 +127,7 @@ def test_repeated_rows_of_files_and_pages_meet_in_one_part(spark, tmp_path, monk
     assert rows(deals.where("YEAR = 2023"), "THING_AMT") == [(5.0,)] and deals.where("YEAR = 2024").count() == 6
     pages = rows(spark.read.option("header", True).csv(outs["load_pages"]), "period", "announced", "n_pages", "received")
     assert pages == [("2025", "40", "3", "25")]  # one range: its fullest page
-    assert len(paths) == 1 and not [x for x in os.listdir(paths[0].replace("file:", "")) if x.startswith("part=") and x != f"part={DR.PARTS}"]
+    folders = [p.replace("file:", "") for p in paths]
+    kept = [f for f in folders if os.path.exists(f)]  # the pages only; what was joined with the map is dropped too
+    assert len(kept) == 1 and [x for x in os.listdir(kept[0]) if x.startswith("part=")] == [f"part={DR.PARTS}"]
     assert not [x for x in os.listdir(outs["processed/real_estate"]) if x.startswith(".parts")]
